@@ -23,7 +23,7 @@ def match_unique(left: DataFrame, unique: DataFrame, on: Sequence[str], how: str
     (or, at run time, the measured shuffle size) are below the configured limit.
     """
     keys = list(on)
-    shard = F.pmod(F.xxhash64(*keys), F.lit(1 << 20)).alias(_SHARD)
+    shard = F.xxhash64(*keys).alias(_SHARD)
     return (
         left.select("*", shard)
         .join(unique.select("*", shard), [*keys, _SHARD], how)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .absence import if_present
 
@@ -25,5 +28,11 @@ def catalog_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small table given in the code."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small table given in the code.
+
+    Handed over as Arrow, it becomes a local relation of known size, which Spark broadcasts;
+    plain Python rows would become a scan of unknown size and make joins shuffle the other side.
+    """
+    fields = StructType.fromDDL(schema)
+    records = [dict(zip(fields.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(fields)), fields)

@@ -12,6 +12,8 @@ the folder the cluster names in ``spark.checkpoint.dir`` and read back.  That
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -32,6 +34,7 @@ def shared_root(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="waymill-")
+        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 
