@@ -40,15 +40,19 @@ _FORECAST_NUMBERS = (*MEAN_FILLED, *FORECAST_ZERO_FILLED, *FORECAST_MODE_FILLED)
 _OBSERVED_NUMBERS = (*MEAN_FILLED, *OBSERVED_ZERO_FILLED)
 
 
-def clean_forecast(
+def fill_forecast(
     batch: DataFrame,
     mean: Sequence[str] = MEAN_FILLED,
     zero: Sequence[str] = FORECAST_ZERO_FILLED,
     mode: Sequence[str] = FORECAST_MODE_FILLED,
-    tags: Sequence[str] = (CODE,),
 ) -> DataFrame:
-    """Drop empty rows, then fill by mean, zero and most frequent value of this batch."""
-    return fill_mode(fill_zero(fill_mean(drop_all_null(batch, tags), mean), zero), mode)
+    """Fill by mean, zero and most frequent value of this batch."""
+    return fill_mode(fill_zero(fill_mean(batch, mean), zero), mode)
+
+
+def clean_forecast(batch: DataFrame, *filled: Sequence[str], tags: Sequence[str] = (CODE,)) -> DataFrame:
+    """Drop empty rows, then fill (``filled``: the columns of ``fill_forecast``)."""
+    return fill_forecast(drop_all_null(batch, tags), *filled)
 
 
 def clean_observed(
@@ -83,13 +87,16 @@ def _run(
     raw = union_all(present)
     unreadable = F.count_if(F.col(TIME).isNotNull() & F.col(TIME).try_cast("timestamp_ntz").isNull())
     seen, written = Observation("input"), Observation("output")
-    readings = typed_readings(raw.observe(seen, unreadable.alias("n")), numbers, TIME)
+    text = raw.observe(seen, unreadable.alias("n"))
+    if drop_empty:
+        # Before the conversion: a condition over many converted columns costs the optimizer
+        # time that doubles with each of them.
+        text = drop_all_null(text, [CODE])
+    readings = typed_readings(text, numbers, TIME)
     if per_airport and state is not None:
         batch = newer_than_per_key(readings, TIME, high_water_marks(state, TIME, [CODE]), [CODE])
     else:
         batch = newer_than(readings, TIME, read_mark(state, TIME))
-    if drop_empty:
-        batch = drop_all_null(batch, [CODE])
     if dedupe:
         batch = fullest_row_per_hour(batch)
     with scratch_folder(spark, "weather") as work:
@@ -124,7 +131,9 @@ def run_forecast(
     """
     files = read_dated_csv(spark, raw, layout, airports, *_range(start, end), code_name=CODE)
     state = read_state(spark, target)
-    return _run(spark, [files], state, target, _FORECAST_NUMBERS, clean_forecast, per_airport, dedupe, drop_empty=True, compact=True)
+    return _run(
+        spark, [files], state, target, _FORECAST_NUMBERS, fill_forecast, per_airport, dedupe, drop_empty=True, compact=True
+    )
 
 
 def run_observed(
@@ -148,4 +157,6 @@ def run_observed(
     inputs = [files]
     if state is None:
         inputs.insert(0, read_backfill(spark, backfill or f"{raw.rstrip('/')}/past", airports, code_name=CODE))
-    return _run(spark, inputs, state, target, _OBSERVED_NUMBERS, clean_observed, per_airport, dedupe, drop_empty=False, compact=False)
+    return _run(
+        spark, inputs, state, target, _OBSERVED_NUMBERS, clean_observed, per_airport, dedupe, drop_empty=False, compact=False
+    )
