@@ -82,6 +82,7 @@ def test_second_forecast_run(spark, raw, tmp_path, per_airport, added):
 
 
 def test_days_outside_the_range_are_not_opened(spark, raw, tmp_path):
+    put(raw, "2024/12/20/CTS_future_9.csv", ["other", "header"])
     put(raw, "2024/12/30/ICN_future_9.csv", ["other", "header"])
     put(raw, "2024/12/24/LAX_future_9.csv", ["other", "header"])
     put(raw, "2024/12/24/ICN_past_9.csv", ["other", "header"])

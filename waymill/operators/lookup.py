@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _SHARD = "__shard"
@@ -40,11 +40,14 @@ def one_name_per_code(pairs: DataFrame, code: str, name: str, by: Sequence[str]
     """One row per code: the smallest of its names.
 
     A code with two names would otherwise multiply the rows of every lookup.
-    Duplicates are removed first, as that runs in a hash table where the text
-    minimum needs a sort; only distinct pairs are left for it.
+    Duplicates go first, in a hash table per task; only distinct pairs are left to be
+    sorted and ranked.  (A text minimum would sort every row: Catalyst drops a
+    distinct below it as redundant.)
     """
-    keys = [*by, code]
-    return distinct_pairs(pairs.select(*keys, name)).groupBy(*keys).agg(F.min(name).alias(name))
+    keys = [code, *by]
+    pairs = distinct_pairs(pairs.select(*keys, name))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_last(name)))
+    return pairs.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
 
 
 def attach_name(
@@ -58,4 +61,4 @@ def attach_name(
     """
     name_code, name = (column for column in names.columns if column not in by)
     role = names.select(*by, F.col(name_code).alias(code), F.col(name).alias(as_name))
-    return df.join(role, [*by, code], "left")
+    return df.join(role, [code, *by], "left")

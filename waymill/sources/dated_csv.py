@@ -82,6 +82,12 @@ def read_dated_csv(
     outside the range are dropped from the listing and not opened; a missing file is no error.
     None if there is no file at all.
     """
+    if columns is None:
+        # The names come from a file of the range: files outside it may have another header.
+        first = _list_files(spark, folder, layout, codes, start, end).select("path").first()
+        if first is None:
+            return None
+        columns = spark.read.option("header", True).csv(first["path"]).columns
     scan = _csv(spark, folder, layout.name_filter(codes), columns)
     if scan is None:
         return None
@@ -115,13 +121,10 @@ def read_backfill(
     return scan.select(*names, layout.code_of("_metadata.file_path").alias(code_name))
 
 
-def list_inputs(
+def _list_files(
     spark: SparkSession, folder: str, layout: DatedCsv, codes: Sequence[str], start: str, end: str
 ) -> DataFrame:
-    """Day and code of every input file present.
-
-    Only the listing is used: this source reads a file's content only when asked for that column.
-    """
+    # This source reads a file's content only when that column is asked for.
     reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -129,9 +132,16 @@ def list_inputs(
     )
     files = if_present(lambda: reader.load(folder))
     if files is None:
-        return spark.createDataFrame([], "day DATE, code STRING")
-    found = files.filter(layout.wanted("path", codes, start, end))
-    return found.select(layout.day_of("path").cast("date").alias("day"), layout.code_of("path").alias("code"))
+        return spark.createDataFrame([], "path STRING")
+    return files.select("path").filter(layout.wanted("path", codes, start, end))
+
+
+def list_inputs(
+    spark: SparkSession, folder: str, layout: DatedCsv, codes: Sequence[str], start: str, end: str
+) -> DataFrame:
+    """Day and code of every input file present, from the listing alone."""
+    files = _list_files(spark, folder, layout, codes, start, end)
+    return files.select(layout.day_of("path").cast("date").alias("day"), layout.code_of("path").alias("code"))
 
 
 def expected_inputs(codes: DataFrame, start: str, end: str, code: str = "code", day: str = "day") -> DataFrame:
