@@ -91,9 +91,11 @@ def test_work_folder_is_removed(spark, tmp_path, monkeypatch):
     from waymill import storage
 
     monkeypatch.setattr(storage, "shared_root", lambda _: str(tmp_path / "shared"))
+    monkeypatch.setattr(storage, "_session_folders", {})
     put(tmp_path / HOUR, "a.json", golden())
     run(spark, tmp_path)
-    assert list((tmp_path / "shared/waymill").iterdir()) == []
+    (session,) = (tmp_path / "shared/waymill").iterdir()
+    assert list(session.iterdir()) == []
 
 
 def test_no_documents_give_the_empty_contract(spark, tmp_path):

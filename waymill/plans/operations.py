@@ -29,7 +29,10 @@ def _direction(
 
 
 def daily_operations(
-    departures: DataFrame, arrivals: DataFrame, targets: DataFrame, counts: tuple[Observation, Observation] | None = None
+    departures: DataFrame,
+    arrivals: DataFrame,
+    targets: DataFrame,
+    counts: tuple[Observation, Observation] | None = None,
 ) -> DataFrame:
     """Passenger flights to the targets (departures) and from them (arrivals), in the source's row shape."""
     branches = [

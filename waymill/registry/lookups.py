@@ -18,15 +18,12 @@ def code_name_pairs(t: Tables) -> DataFrame:
     return distinct_pairs(t.orders.select(F.col("o_orderstatus").alias("code"), F.col("o_orderpriority").alias("name")))
 
 
-@query("SELECT p_brand AS code, min(p_name) AS name FROM part GROUP BY 1")
+@query("SELECT p_brand AS code, min(p_name) AS name FROM part GROUP BY 1", name="single_name_per_code")
 def one_name_each(t: Tables) -> DataFrame:
     """Codes with several names keep the smallest."""
     return one_name_per_code(t.part.select(F.col("p_brand").alias("code"), F.col("p_name").alias("name")), "code", "name")
 
 
-QUERIES["single_name_per_code"] = QUERIES.pop("one_name_each")
-ORACLES["single_name_per_code"] = ORACLES.pop("one_name_each")
-
 
 @query(
     """
@@ -90,8 +87,8 @@ def joined_list_csv(t: Tables) -> DataFrame:
 @query(
     """
     SELECT o.o_orderkey, t.label, t.country FROM orders o
-    LEFT JOIN (VALUES ('1-URGENT','나리타','일본'),('2-HIGH','후쿠오카','일본'),('3-MEDIUM','간사이','일본')) t(code, label, country)
-      ON o.o_orderpriority = t.code
+    LEFT JOIN (VALUES ('1-URGENT', '나리타', '일본'), ('2-HIGH', '후쿠오카', '일본'), ('3-MEDIUM', '간사이', '일본'))
+      t(code, label, country) ON o.o_orderpriority = t.code
     """
 )
 def inline_dimension(t: Tables) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -59,7 +59,11 @@ def _flights(t: Tables) -> DataFrame:
         "s_suppkey",
         where=F.col("l_returnflag").isin("A", "R") & (F.col("l_linestatus") == "F"),
     )
-    names = {"flight_number": ("o_orderkey", "l_orderkey"), "actual_time": ("o_orderdate", "l_shipdate"), "status": ("o_orderstatus", "l_returnflag")}
+    names = {
+        "flight_number": ("o_orderkey", "l_orderkey"),
+        "actual_time": ("o_orderdate", "l_shipdate"),
+        "status": ("o_orderstatus", "l_returnflag"),
+    }
     return union_all(
         [
             rename_columns(side, {pair[i]: name for name, pair in names.items()}).select(
@@ -85,20 +89,22 @@ def branch_counts(t: Tables) -> DataFrame:
     return counts_per_branch(_flights(t), "operation_type")
 
 
-@query("SELECT event_id AS flight_number, ts AS actual_time, event_type AS status, user_id, value, props FROM events")
+@query(
+    "SELECT event_id AS flight_number, ts AS actual_time, event_type AS status, user_id, value, props FROM events",
+    name="rename_columns",
+)
 def rename_columns_once(t: Tables) -> DataFrame:
     """An absent source name is ignored."""
     names = {"event_id": "flight_number", "ts": "actual_time", "event_type": "status", "absent": "nowhere"}
     return rename_columns(t.events, names)
 
 
-QUERIES["rename_columns"] = QUERIES.pop("rename_columns_once")
-ORACLES["rename_columns"] = ORACLES.pop("rename_columns_once")
-
 
 @query(
     """
-    WITH airport AS (SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN 'NRT' WHEN 1 THEN 'FUK' WHEN 2 THEN 'KIX' ELSE 'LAX' END AS code FROM nation)
+    WITH airport AS (
+      SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN 'NRT' WHEN 1 THEN 'FUK' WHEN 2 THEN 'KIX' ELSE 'LAX' END AS code
+      FROM nation)
     SELECT 'D' AS operation_type, cast(o_orderdate AS varchar) AS date, o_orderpriority AS airline,
            cast(o_orderkey AS varchar) AS flight_number, 'ICN' AS departure_airport_code, code AS arrival_airport_code,
            CASE o_orderstatus WHEN 'F' THEN '출발' WHEN 'O' THEN '지연' ELSE '도착' END AS status
@@ -118,9 +124,12 @@ def daily_operations_job(t: Tables) -> DataFrame:
     airports = t.nation.select("n_nationkey", code.alias("code"))
     passenger = F.lit(schemas.PASSENGER_CATEGORY)
 
-    def text(column: str):
+    def text(column: str) -> Column:
         return F.col(column).cast("string")
 
+    def recoded(column: str, names: dict[str, str], other: str) -> Column:
+        return F.coalesce(*(F.when(F.col(column) == code, name) for code, name in names.items()), F.lit(other))
+
     departures = (
         t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(airports, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -132,7 +141,7 @@ def daily_operations_job(t: Tables) -> DataFrame:
             F.lit("ICN").alias("출발공항코드"),
             F.col("code").alias("도착공항코드"),
             F.when(F.col("c_mktsegment") == "MACHINERY", "화물").otherwise(passenger).alias("구분"),
-            F.when(F.col("o_orderstatus") == "F", "출발").when(F.col("o_orderstatus") == "O", "지연").otherwise("도착").alias("현황"),
+            recoded("o_orderstatus", {"F": "출발", "O": "지연"}, "도착").alias("현황"),
         )
     )
     arrivals = (
@@ -146,7 +155,7 @@ def daily_operations_job(t: Tables) -> DataFrame:
             F.col("code").alias("출발공항코드"),
             F.lit("ICN").alias("도착공항코드"),
             F.when(F.col("l_linestatus") == "F", "화물").otherwise(passenger).alias("구분"),
-            F.when(F.col("l_returnflag") == "A", "도착").when(F.col("l_returnflag") == "R", "취소").otherwise("출발").alias("현황"),
+            recoded("l_returnflag", {"A": "도착", "R": "취소"}, "출발").alias("현황"),
         )
     )
     targets = inline_table(t.spark, schemas.TARGET_AIRPORTS, schemas.TARGET_AIRPORTS_SCHEMA)

@@ -52,16 +52,20 @@ def _mode_sql(condition: str, result: str) -> str:
     """
 
 
+def _types_with_value(t: Tables, least: int) -> DataFrame:
+    return t.events.select("event_id", F.when(F.col("value") >= least, F.col("event_type")).alias("event_type"))
+
+
 @query(_mode_sql("value >= 3", "event_id, coalesce(t, (SELECT t FROM m)) AS event_type"))
 def fill_mode_null_group(t: Tables) -> DataFrame:
     """Nulls are the smallest group: filled with the most frequent type."""
-    return by_mode(t.events.select("event_id", F.expr("CASE WHEN value >= 3 THEN event_type END").alias("event_type")), ["event_type"])
+    return by_mode(_types_with_value(t, 3), ["event_type"])
 
 
 @query(_mode_sql("value >= 40", "event_id, coalesce(t, (SELECT t FROM m)) AS event_type"))
 def fill_mode_null_wins(t: Tables) -> DataFrame:
     """Nulls are the largest group: nothing is filled."""
-    return by_mode(t.events.select("event_id", F.expr("CASE WHEN value >= 40 THEN event_type END").alias("event_type")), ["event_type"])
+    return by_mode(_types_with_value(t, 40), ["event_type"])
 
 
 @query(
@@ -92,7 +96,7 @@ def drop_all_null_tagged(t: Tables) -> DataFrame:
     """
 )
 def top_value_by_count(t: Tables) -> DataFrame:
-    return most_frequent(t.events.select(F.expr("CASE WHEN value >= 3 THEN event_type END").alias("event_type")), "event_type")
+    return most_frequent(_types_with_value(t, 3), "event_type")
 
 
 @query(f"SELECT round(avg({_NO_ERRORS}), 6) AS m_a, round(avg({_NO_SIGNUPS}), 6) AS m_b FROM events")

@@ -21,19 +21,21 @@ class Tables:
 
 
 def collector() -> tuple[dict[str, Query], dict[str, str], Callable]:
-    """Two empty registers and the decorator ``@query(sql)`` that fills them."""
+    """Two empty registers and the decorator ``@query(sql)`` that fills them.
+
+    A query is registered under its function's name unless another is given.
+    """
     queries: dict[str, Query] = {}
     oracles: dict[str, str] = {}
 
-    def query(sql: str):
+    def query(sql: str, name: str | None = None):
         def register(function: Callable[[Tables], DataFrame]):
             def run(spark: SparkSession, folder: str) -> DataFrame:
                 return function(Tables(spark, folder))
 
-            run.__name__ = function.__name__
-            run.__doc__ = function.__doc__
-            queries[function.__name__] = run
-            oracles[function.__name__] = sql
+            key = name or function.__name__
+            run.__name__, run.__doc__ = key, function.__doc__
+            queries[key], oracles[key] = run, sql
             return function
 
         return register

@@ -1,4 +1,13 @@
-from .dated_csv import FORECAST_FILES, OBSERVED_FILES, DatedCsv, expected_inputs, list_inputs, missing_partitions, read_backfill, read_dated_csv
+from .dated_csv import (
+    FORECAST_FILES,
+    OBSERVED_FILES,
+    DatedCsv,
+    expected_inputs,
+    list_inputs,
+    missing_partitions,
+    read_backfill,
+    read_dated_csv,
+)
 from .documents import eligible_files, read_documents
 from .tables import catalog_table, inline_table, read_daily, read_state
 

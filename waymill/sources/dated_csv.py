@@ -150,7 +150,9 @@ def expected_inputs(codes: DataFrame, start: str, end: str, code: str = "code",
     return codes.select(F.explode(days).alias(day), code)
 
 
-def missing_partitions(codes: DataFrame, found: DataFrame, start: str, end: str, code: str = "code", day: str = "day") -> DataFrame:
+def missing_partitions(
+    codes: DataFrame, found: DataFrame, start: str, end: str, code: str = "code", day: str = "day"
+) -> DataFrame:
     """Expected days × codes for which nothing was found."""
     present = found.select(day, code).dropDuplicates()
     return expected_inputs(codes, start, end, code, day).join(present, [day, code], "left_anti")

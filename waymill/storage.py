@@ -12,8 +12,6 @@ the folder the cluster names in ``spark.checkpoint.dir`` and read back.  That
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,6 +20,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_session_folders: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -34,24 +33,41 @@ def shared_root(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="waymill-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system for a path, and the path as it knows it."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _session_folder(spark: SparkSession) -> str:
+    """One folder per application below the shared folder, removed when its driver ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _session_folders:
+        path = f"{shared_root(spark)}/waymill/{application}-{uuid.uuid4().hex}"
+        files, hadoop_path = _file_system(spark, path)
+        files.mkdirs(hadoop_path)
+        files.deleteOnExit(hadoop_path)
+        _session_folders[application] = path
+    return _session_folders[application]
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unused path below the shared folder (not created yet)."""
-    return f"{shared_root(spark)}/waymill/{purpose}-{uuid.uuid4().hex}"
+    """A fresh, unused path for intermediate data (not created yet)."""
+    return f"{_session_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 @contextmanager
 def scratch_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
-    """A fresh shared folder that is removed when the block ends."""
+    """A fresh folder for intermediate data that is removed when the block ends."""
     path = new_folder(spark, purpose)
     try:
         yield path
     finally:
-        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        files, hadoop_path = _file_system(spark, path)
+        files.delete(hadoop_path, True)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
