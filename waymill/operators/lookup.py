@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_SHARD = "__shard"
+# More partitions than any shuffle has: coalescing to it merges nothing.
+_NO_MERGE = 1 << 20
 
 
 def match_unique(left: DataFrame, unique: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -16,19 +17,13 @@ def match_unique(left: DataFrame, unique: DataFrame, on: Sequence[str], how: str
     An aggregated side is already partitioned by its key, and Spark would reuse
     that partitioning for the join.  Then one hot key of ``left`` ends in one task,
     because adaptive execution splits a skewed partition only where both sides
-    come straight from a join shuffle.  The second, redundant key (a hash of the
-    first) asks for that shuffle; it moves one row per key and changes no result.
+    come straight from the join's own shuffle.  ``coalesce`` moves no row here; it makes
+    Spark forget the partitioning, and so shuffle the (much smaller) unique side once more.
 
     No side is marked for broadcast: Spark does that by itself when its statistics
     (or, at run time, the measured shuffle size) are below the configured limit.
     """
-    keys = list(on)
-    shard = F.xxhash64(*keys).alias(_SHARD)
-    return (
-        left.select("*", shard)
-        .join(unique.select("*", shard), [*keys, _SHARD], how)
-        .drop(_SHARD)
-    )
+    return left.join(unique.coalesce(_NO_MERGE), list(on), how)
 
 
 def distinct_pairs(pairs: DataFrame) -> DataFrame:
