@@ -108,6 +108,13 @@ def test_unreadable_times_are_counted(spark, raw, tmp_path):
     assert forecast(spark, raw, tmp_path) == {"written": 6, "unreadable_times": 1}
 
 
+def test_only_empty_rows_write_nothing(spark, tmp_path):
+    put(tmp_path / "raw", "2024/12/24/ICN_future_1.csv", FORECAST, reading(""), reading(""))
+    put(tmp_path / "raw", "2024/12/24/NRT_future_1.csv", FORECAST)
+    assert forecast(spark, tmp_path / "raw", tmp_path) == {"written": 0, "unreadable_times": 0}
+    assert not (tmp_path / "target").exists()
+
+
 def test_no_input_at_all(spark, tmp_path):
     assert forecast(spark, tmp_path / "nowhere", tmp_path)["written"] == 0
     assert not (tmp_path / "target").exists()

@@ -51,9 +51,9 @@ def attach_name(
     """Left lookup of one code column in a table (…by, code, name) that is unique per code.
 
     Call it once per role of the code.  The row count never changes, and an unknown code gives null.
-    ``names`` should be a stored table (see ``storage.materialize``): its file size then
-    decides whether it is broadcast, and a hot code is split when it is not.
+    Where ``names`` is a stored table (see ``storage.materialize``), its true size decides
+    already at planning whether it is broadcast.
     """
     name_code, name = (column for column in names.columns if column not in by)
     role = names.select(*by, F.col(name_code).alias(code), F.col(name).alias(as_name))
-    return df.join(role, [code, *by], "left")
+    return match_unique(df, role, [code, *by], "left")

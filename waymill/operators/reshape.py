@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lookup import match_unique
+
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename in one step; a source name that is absent is ignored."""
@@ -31,7 +33,7 @@ def keep_targets(
     """
     kept = df if where is None else df.filter(where)
     listed = targets.select(F.col(target_code or targets.columns[0]).alias(code))
-    return kept.join(listed, code, "left_semi").select(*df.columns)
+    return match_unique(kept, listed, [code], "left_semi").select(*df.columns)
 
 
 def union_all(branches: Sequence[DataFrame]) -> DataFrame:
