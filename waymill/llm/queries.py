@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..registry.tables import Tables
-from .columns import word_count
+from .columns import fold, word_count
 from .hosts import host_rules
+from .language import identify_languages, learn_languages
 from .mixing import mix_sources
+from .toxicity import fit_toxicity, score_toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -32,6 +34,16 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op4_toxicity(t: Tables) -> DataFrame:
+    """All documents against labelled examples outside the held-out fold."""
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    labels = t.labels.filter(~held_out).select("doc_id", "toxic")
+    docs = t.documents.select("doc_id", "text")
+    scored = score_toxicity(docs, fit_toxicity(docs, labels), threshold=0.3)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.col("evidence.example").alias("evidence"))
+
+
 @query(
     r"""
     WITH d AS (SELECT doc_id, source,
@@ -105,3 +117,12 @@ def op8_host_rules(t: Tables) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query()
+def op10_language(t: Tables) -> DataFrame:
+    """The language of all documents, learnt outside the held-out fold."""
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    filters = learn_languages(t.documents.filter(~held_out).select("lang", "text"))
+    found = identify_languages(t.documents.select("doc_id", "text"), filters)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
