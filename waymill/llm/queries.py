@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..registry.tables import Tables
 from .columns import fold, word_count
+from .fingerprint import fingerprint_edits
 from .hosts import host_rules
 from .language import identify_languages, learn_languages
 from .mixing import mix_sources
@@ -34,6 +35,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op2_fingerprints(t: Tables) -> DataFrame:
+    """All documents and their edited texts."""
+    return fingerprint_edits(t.documents.select("doc_id", "text"))
+
+
 @query()
 def op4_toxicity(t: Tables) -> DataFrame:
     """All documents against labelled examples outside the held-out fold."""
