@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..registry.tables import Tables
+from ..storage import new_folder
+from .archives import read_archives, write_archives
 from .columns import fold, word_count
 from .fingerprint import fingerprint_edits
 from .hosts import host_rules
@@ -35,6 +37,26 @@ def query(sql: str | None = None):
     return register
 
 
+@query(
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    x AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS first FROM p),
+    y AS (SELECT *, first IS NOT NULL AND (page_id IS NULL OR page_id <> first) AS again FROM x)
+    SELECT page_id, payload_bytes,
+           array_to_string(list_transform([1, 11, 21, 31], lambda i: translate(lpad(to_base(('0x' || substr(s, i, 10))::BIGINT, 32),
+               8, '0'), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')), '') AS payload_digest,
+           CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN again THEN first END AS refers_to
+    FROM y
+    """
+)
+def op1_archives(t: Tables) -> DataFrame:
+    """All pages written as records and read back."""
+    packages = write_archives(t.pages, new_folder(t.spark, "archives"), revisit_bytes=0)
+    records = read_archives(packages, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op2_fingerprints(t: Tables) -> DataFrame:
     """All documents and their edited texts."""
