@@ -17,6 +17,7 @@ from .fingerprint import fingerprint_edits
 from .hosts import host_rules
 from .language import identify_languages, learn_languages
 from .mixing import mix_sources
+from .pieces import decode_pieces, encode_pieces
 from .toxicity import fit_toxicity, score_toxicity
 
 QUERIES = {}
@@ -110,6 +111,19 @@ def op5_source_mix(t: Tables) -> DataFrame:
     )
 
 
+@query()
+def op6_pieces(t: Tables) -> DataFrame:
+    """All documents segmented and decoded again."""
+    coded = decode_pieces(encode_pieces(t.documents.select("doc_id", "text")))
+    return coded.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 @query(
     r"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
