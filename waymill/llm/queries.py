@@ -18,6 +18,7 @@ from .hosts import host_rules
 from .language import identify_languages, learn_languages
 from .mixing import mix_sources
 from .pieces import decode_pieces, encode_pieces
+from .scoring import score_documents
 from .toxicity import fit_toxicity, score_toxicity
 
 QUERIES = {}
@@ -64,6 +65,14 @@ def op2_fingerprints(t: Tables) -> DataFrame:
     return fingerprint_edits(t.documents.select("doc_id", "text"))
 
 
+@query()
+def op3_lm_scores(t: Tables) -> DataFrame:
+    """All documents, learning from those outside the held-out fold."""
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 1, F.lit(False))
+    scored = score_documents(t.documents.select("doc_id", "text"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query()
 def op4_toxicity(t: Tables) -> DataFrame:
     """All documents against labelled examples outside the held-out fold."""
