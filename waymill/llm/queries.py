@@ -15,6 +15,7 @@ from .archives import read_archives, write_archives
 from .columns import fold, word_count
 from .fingerprint import fingerprint_edits
 from .hosts import host_rules
+from .jaccard import near_duplicates
 from .language import identify_languages, learn_languages
 from .mixing import mix_sources
 from .pieces import decode_pieces, encode_pieces
@@ -171,6 +172,26 @@ def op8_host_rules(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    r"""
+    WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+    g AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM d),
+    e AS MATERIALIZED (SELECT r, len(s) AS n, unnest(s) AS x FROM g),
+    f AS MATERIALIZED (SELECT r, n, x FROM e WHERE x IN (SELECT x FROM e GROUP BY x HAVING count(*) > 1)),
+    p AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM f a JOIN f b USING (x) WHERE a.r <> b.r
+          GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    reach(a, b) AS (SELECT r, r FROM g UNION SELECT reach.a, p.b FROM reach JOIN p ON reach.b = p.a)
+    SELECT g.doc_id, any_value(len(g.s))::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+    FROM g JOIN reach ON reach.a = g.r JOIN g o ON o.r = reach.b GROUP BY g.r, g.doc_id
+    """
+)
+def op9_near_duplicates(t: Tables) -> DataFrame:
+    """All documents, by sets of five-word shingles with 80 percent or more in common."""
+    return near_duplicates(t.documents.select("doc_id", "text"), words=5, percent=80)
+
+
 @query()
 def op10_language(t: Tables) -> DataFrame:
     """The language of all documents, learnt outside the held-out fold."""
