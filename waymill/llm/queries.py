@@ -19,6 +19,7 @@ from .jaccard import near_duplicates
 from .language import identify_languages, learn_languages
 from .mixing import mix_sources
 from .pieces import decode_pieces, encode_pieces
+from .repeats import repeated_strings
 from .scoring import score_documents
 from .toxicity import fit_toxicity, score_toxicity
 
@@ -134,6 +135,16 @@ def op6_pieces(t: Tables) -> DataFrame:
     )
 
 
+@query()
+def op7_suffix_dedup(t: Tables) -> DataFrame:
+    """All documents without their byte strings of 200 that occur again."""
+    found = repeated_strings(t.documents.select("doc_id", "text"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 @query(
     r"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
@@ -175,7 +186,8 @@ def op8_host_rules(t: Tables) -> DataFrame:
 @query(
     r"""
     WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
-                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
     g AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
                  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM d),
     e AS MATERIALIZED (SELECT r, len(s) AS n, unnest(s) AS x FROM g),

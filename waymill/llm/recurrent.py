@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 
 F4 = np.float32
-HIDDEN = 24
+HIDDEN = 16
 PARTS = ("x", "u", "class_w", "class_b", "word_w", "word_b")
 
 
@@ -142,7 +142,7 @@ class Lanes:
             yield np.where(there, self.first[None, :going] + offsets, self.first[None, :going]), there
 
 
-def score_texts(net: Network, texts: Sequence[np.ndarray], lanes: int = 256, steps: int = 32) -> np.ndarray:
+def score_texts(net: Network, texts: Sequence[np.ndarray], lanes: int = 384, steps: int = 32) -> np.ndarray:
     """Natural log probability of each text with its end; the state is carried across windows."""
     if not texts:
         return np.empty(0)
