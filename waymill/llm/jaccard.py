@@ -17,17 +17,37 @@ from .arrays import U64
 from .components import connected_components
 from .shingles import shingle_sets
 
-GROUPS = 64
+GROUPS = 128
+_GROUP_BITS = 7
 _CELLS = 1 << 18
 _SLICE = 1 << 12
+_BITS = 1 << 24
 # A chunk has about so many documents and shingles at most, so that one fits in a task.
 _CHUNK_DOCS = 1024
 _CHUNK_SHINGLES = 1 << 20
 
 
-def count_vector(shingles: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each of the groups that their hashes' first bits name."""
-    return np.bincount((shingles >> U64(58)).astype(np.int64), minlength=GROUPS)
+def fine_vector(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each of the groups that their hashes' first bits name; the more shingles, the more groups.
+
+    There are ``GROUPS`` times a power of two of them, half a shingle to one in each on average.
+    """
+    bits = max(_GROUP_BITS, len(shingles).bit_length())
+    counts = np.bincount((shingles >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    if counts.max(initial=0) > 0xFF:
+        raise ValueError("too many shingles with the same first bits")
+    return counts.astype(np.uint8)
+
+
+def coarse(fine: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """The counts of fewer groups, each of which takes in as many neighbours."""
+    return fine.reshape(groups, -1).sum(axis=1, dtype=np.int64)
+
+
+def overlap_bound(one: np.ndarray, other: np.ndarray) -> int:
+    """The most shingles that two sets can have in common: the smaller counts of each group, summed."""
+    groups = min(len(one), len(other))
+    return int(np.minimum(coarse(one, groups), coarse(other, groups)).sum())
 
 
 class CountTree:
@@ -38,11 +58,10 @@ class CountTree:
     differ most.
     """
 
-    def __init__(self, sets: list[np.ndarray], percent: int, fan: int = 16):
+    def __init__(self, points: np.ndarray, percent: int, fan: int = 16):
         self.percent, self.fan = percent, fan
-        self.points = np.array([count_vector(s) for s in sets]).reshape(len(sets), GROUPS)
-        self.sizes = self.points.sum(axis=1)
-        self.order = np.concatenate(list(self._packed(np.arange(len(sets))))) if sets else np.empty(0, np.int64)
+        self.points, self.sizes = points, points.sum(axis=1)
+        self.order = np.concatenate(list(self._packed(np.arange(len(points))))) if len(points) else np.empty(0, np.int64)
         self.levels = []
         high, least, most = self.points[self.order], self.sizes[self.order], self.sizes[self.order]
         while len(high) > fan:
@@ -71,9 +90,9 @@ class CountTree:
         fits = (100 + self.percent) * bound >= self.percent * (size + least)
         return fits & (100 * most >= self.percent * size) & (100 * size >= self.percent * least)
 
-    def near(self, shingles: np.ndarray) -> np.ndarray:
+    def near(self, point: np.ndarray) -> np.ndarray:
         """The sets whose bound allows a link, by falling bound."""
-        point, size = count_vector(shingles), len(shingles)
+        size = int(point.sum())
         at = None
         for high, least, most in reversed(self.levels):
             at = np.arange(len(high)) if at is None else at[at < len(high)]
@@ -90,16 +109,35 @@ def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(one) + len(other) - common)
 
 
+def possible(fine: list[np.ndarray], percent: int, hosts: int | None = None) -> np.ndarray:
+    """Which of the sets may link with another by their count vectors; with ``hosts`` as in ``link_sets``.
+
+    The tree has vectors of few groups; the pairs that it leaves are bounded again by all groups that both have.
+    """
+    points = np.array([coarse(f) for f in fine]).reshape(len(fine), GROUPS)
+    tree, marked = CountTree(points[:hosts], percent), np.zeros(len(points), bool)
+    for q in range(hosts or 0, len(points)):
+        # What is marked already has a partner, and every partner of it looks for itself.
+        if hosts is None and marked[q]:
+            continue
+        size = int(points[q].sum())
+        for row in tree.near(points[q]).tolist():
+            both = size + int(tree.sizes[row])
+            if row != q and (100 + percent) * overlap_bound(fine[q], fine[row]) >= percent * both:
+                marked[q] = marked[row] = True
+    return marked
+
+
 def link_sets(sets: list[np.ndarray], labels: np.ndarray, percent: int, hosts: int | None = None) -> list[tuple[int, int]]:
     """Links that join sets with different labels, enough to connect all that any link connects.
 
     With ``hosts``, only links between the first so many sets and the others (the guests) are looked for.
     Pairs that are connected already are not verified; all others that the tree cannot rule out are.
     """
-    guests = range(len(sets)) if hosts is None else range(hosts, len(sets))
-    tree, found, labels = CountTree(sets[:hosts], percent), [], labels.copy()
-    for q in guests:
-        rows = tree.near(sets[q])
+    points = np.array([coarse(fine_vector(s)) for s in sets]).reshape(len(sets), GROUPS)
+    tree, found, labels = CountTree(points[:hosts], percent), [], labels.copy()
+    for q in range(hosts or 0, len(sets)):
+        rows = tree.near(points[q])
         rows = rows[labels[rows] != labels[q]]
         while len(rows):
             if linked(sets[q], sets[rows[0]], percent):
@@ -111,32 +149,61 @@ def link_sets(sets: list[np.ndarray], labels: np.ndarray, percent: int, hosts: i
     return found
 
 
-def _count_cells(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    counts, seen = np.zeros(_CELLS, np.int64), 0
-    for batch in batches:
-        for shingles in shingle_sets(batch.column(0), words):
-            np.add.at(counts, (shingles >> U64(46)).astype(np.int64), 1)
-            seen = (seen + int(shingles[0]) if len(shingles) else seen) & 0x7FFFFFFF
-    n = _CELLS // _SLICE
-    parts = [counts[i * _SLICE : (i + 1) * _SLICE].tobytes() for i in range(n)]
-    arrays = [np.arange(n, dtype=np.int32), np.full(n, seen % 64, np.int32)]
-    yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(parts, pa.binary())], names=["slice", "bundle", "counts"])
+def _in_slices(values: np.ndarray, name: int) -> pa.RecordBatch:
+    """An array of fixed length as rows of slices, to be merged with those of other tasks."""
+    parts = [values[i : i + _SLICE].tobytes() for i in range(0, len(values), _SLICE)]
+    arrays = [np.arange(len(parts), dtype=np.int32), np.full(len(parts), name % 64, np.int32)]
+    return pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(parts, pa.binary())], names=["slice", "bundle", "numbers"])
+
+
+_SLICES = "slice int, bundle int, numbers binary"
+
+
+def _merged_slices(parts: DataFrame, merge: np.ufunc) -> np.ndarray:
+    """The tasks' arrays merged by a function of numpy: slices of some tasks, then of all; only the result comes to the driver."""
+
+    def merged(frame: pd.DataFrame) -> pd.DataFrame:
+        total = merge.reduce([np.frombuffer(x, np.int64) for x in frame["numbers"]])
+        return pd.DataFrame([(frame["slice"].iloc[0], frame["bundle"].iloc[0], total.tobytes())], columns=list(frame.columns))
+
+    some = parts.groupBy("slice", "bundle").applyInPandas(merged, _SLICES)
+    rows = some.groupBy("slice").applyInPandas(merged, _SLICES).orderBy("slice").collect()
+    return np.concatenate([np.frombuffer(row["numbers"], np.int64) for row in rows]) if rows else np.empty(0, np.int64)
 
 
 def cell_counts(texts: DataFrame, words: int) -> np.ndarray:
     """How many shingles of all texts fall into each of a fixed number of hash cells; it ranks frequent shingles last."""
-    schema = "slice int, bundle int, counts binary"
 
-    def summed(frame: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, np.int64) for c in frame["counts"])
-        return pd.DataFrame([(frame["slice"].iloc[0], frame["bundle"].iloc[0], total.tobytes())], columns=list(frame.columns))
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, name = np.zeros(_CELLS, np.int64), 0
+        for batch in batches:
+            for shingles in shingle_sets(batch.column(0), words):
+                np.add.at(counts, (shingles >> U64(46)).astype(np.int64), 1)
+                name = (name + int(shingles[0]) if len(shingles) else name) & 0xFFFF
+        yield _in_slices(counts, name)
+
+    found = _merged_slices(texts.mapInArrow(counted, _SLICES), np.add)
+    return found if len(found) else np.zeros(_CELLS, np.int64)
+
+
+def key_bits(keys: DataFrame) -> np.ndarray:
+    """A bit table of fixed size over 128-bit keys: a key whose bit is not set is not among them."""
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, name = np.zeros(_BITS // 64, np.int64), 0
+        for batch in batches:
+            if batch.num_rows:
+                at = _bit_of(batch.column(0))
+                np.bitwise_or.at(bits, at >> 6, np.left_shift(np.int64(1), at & 63))
+                name = (name + int(at[0])) & 0xFFFF
+        yield _in_slices(bits, name)
+
+    found = _merged_slices(keys.mapInArrow(marked, _SLICES), np.bitwise_or)
+    return found if len(found) else np.zeros(_BITS // 64, np.int64)
+
 
-    parts = texts.mapInArrow(lambda batches: _count_cells(batches, words), schema).groupBy("slice", "bundle").applyInPandas(summed, schema)
-    rows = parts.groupBy("slice").applyInPandas(summed, schema).collect()
-    result = np.zeros(_CELLS, np.int64)
-    for row in rows:
-        result[row["slice"] * _SLICE : (row["slice"] + 1) * _SLICE] = np.frombuffer(row["counts"], np.int64)
-    return result
+def _bit_of(keys: pa.Array) -> np.ndarray:
+    return np.array([int.from_bytes(k[:8], "little") for k in keys.to_pylist()], U64).astype(np.int64) & (_BITS - 1)
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,49 +282,72 @@ def near_duplicates(
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, firsts = [], [], []
+            sizes, digests, firsts, points = [], [], [], []
             for shingles in shingle_sets(batch.column(2), words):
                 n = len(shingles)
                 rare = np.argsort(cells.value[(shingles >> U64(46)).astype(np.int64)], kind="stable")
                 sizes.append(n)
+                points.append(fine_vector(shingles).tobytes())
                 digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if n else None)
                 firsts.append(shingles[rare[: n - (percent * n + 99) // 100 + 1 if n else 0]].view(np.int64))
             offsets = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in firsts]))).astype(np.int32))
             values = pa.array(np.concatenate(firsts) if firsts else np.empty(0, np.int64))
-            arrays = [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, values)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "row_key", "n", "digest", "firsts"])
+            arrays = [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, values), pa.array(points, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "row_key", "n", "digest", "firsts", "point"])
 
     id_type = docs.schema[key].dataType.simpleString()
     keyed = docs.select(F.col(key).alias("id"), _row_key(key, text).alias("row_key"), F.col(text).alias("text"))
-    sketch = keyed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, firsts array<bigint>")
+    sketch = keyed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, firsts array<bigint>, point binary")
     sketch = stored(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
     # One row stands for each distinct set: that with the smallest key.
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least")
     classes = sketch.filter("n > 0").groupBy("digest").agg(least).select("digest", F.col("least.row").alias("row"), F.col("least.id").alias("least"))
     classes = stored(classes, "classes")
-    chosen = sketch.join(classes.select("row"), "row").select("row", "row_key", "n", "firsts")
+    chosen = sketch.select("row", "firsts").join(classes.select("row"), "row")
     spread = chosen.select(F.explode("firsts").alias("shingle"), "row").repartition("shingle").sortWithinPartitions("shingle")
     shared = stored(spread.mapInArrow(_repeated, "shingle bigint, row bigint"), "shared")
     # The chunk of a set: one of its shared shingles, chosen by hash; large ones are divided.
     block = F.min(F.struct(F.xxhash64("shingle").alias("hash"), "shingle"))
     blocks = shared.groupBy("row").agg(block.alias("block")).select("row", F.col("block.shingle").alias("block"))
-    known = sketch.join(blocks, "row").select("row", "row_key", "n", "block")
-    known = stored(known, "known")
+    known = stored(sketch.select("row", "row_key", "n", "point").join(blocks, "row"), "known")
     loads = known.groupBy("block").agg(F.count("*").alias("docs"), F.sum("n").alias("load"))
     parts = F.greatest(F.ceil(F.col("docs") / _CHUNK_DOCS), F.ceil(F.col("load") / _CHUNK_SHINGLES))
     divided = match_unique(known, loads.select("block", parts.alias("parts")), ["block"])
     chunk = F.xxhash64("block", F.pmod(F.xxhash64("row"), F.col("parts")))
-    placed = stored(divided.select("row", "row_key", chunk.alias("chunk")), "chunks")
+    placed = stored(divided.select("row", "row_key", chunk.alias("chunk"), "point"), "chunks")
 
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                some = batch.slice(first, 500)
-                raw = [s.tobytes() for s in shingle_sets(some.column(2), words)]
-                yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(raw, pa.binary())], names=["chunk", "row", "shingles"])
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """The wanted rows (by ``row_key``) with their shingles, from one pass over the texts.
+
+        A bit table of fixed size keeps nearly all other rows from being shingled and sent; the join is exact.
+        """
+        bits = spark.sparkContext.broadcast(key_bits(wanted.select("row_key").dropDuplicates()))
+
+        def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = _bit_of(batch.column(0))
+                batch = batch.filter(pa.array((bits.value[at >> 6] >> (at & 63) & 1).astype(bool)))
+                for first in range(0, batch.num_rows, 500):
+                    some = batch.slice(first, 500)
+                    raw = [s.tobytes() for s in shingle_sets(some.column(1), words)]
+                    yield pa.RecordBatch.from_arrays([some.column(0), pa.array(raw, pa.binary())], names=["row_key", "shingles"])
+
+        found = keyed.select("row_key", "text").mapInArrow(shingled, "row_key binary, shingles binary")
+        return found.join(wanted, "row_key").drop("row_key")
+
+    def points_of(table: pa.Table) -> list[np.ndarray]:
+        return [np.frombuffer(x, np.uint8) for x in table.column("point").to_pylist()]
 
-    texts = keyed.join(placed, "row_key").select("chunk", "row", "text")
-    sets = stored(texts.mapInArrow(shingled, "chunk bigint, row bigint, shingles binary"), "sets")
+    # By count vectors first: most sets that share a shingle cannot link, and their shingles are never sent.
+    def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped(batches):
+            marked = pa.array(possible(points_of(table), percent))
+            yield from table.select(["chunk", "row"]).filter(marked).combine_chunks().to_batches()
+
+    chunks = placed.select("chunk", "row", "point").repartition("chunk").sortWithinPartitions("chunk")
+    hopes = stored(chunks.mapInArrow(hopeful, "chunk bigint, row bigint"), "hopes")
+    wanted = stored(placed.select("row", "row_key").join(hopes, "row"), "wanted")
+    sets = sets_of(wanted).select("chunk", "row", "shingles")
     edge_schema = "a bigint, b bigint"
 
     def edges_of(found: list[tuple[int, int]], rows: np.ndarray) -> pa.RecordBatch:
@@ -282,8 +372,8 @@ def near_duplicates(
     places = stored(places, "places")
     best = places.groupBy("shingle", "chunk").agg(F.max("rank").alias("best"))
     mixed = places.groupBy("shingle").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).filter("low <> high").select("shingle")
-    moving = match_unique(places, mixed, ["shingle"], "left_semi").select("shingle", "row", "rank")
-    meets = match_unique(moving, best, ["shingle"]).filter("best > rank")
+    moving = match_unique(places, mixed, ["shingle"], "left_semi").select("shingle", "row", "rank", F.col("chunk").alias("own"))
+    meets = match_unique(moving, best, ["shingle"]).filter("best > rank and chunk <> own")
     visits = stored(meets.select("row", "chunk").dropDuplicates(), "visits")
     if visits.isEmpty():
         merged = found.select("node", "component")
@@ -292,25 +382,31 @@ def near_duplicates(
         parts = visits.groupBy("chunk").agg(F.ceil(F.count("*") / _CHUNK_DOCS).alias("parts"))
         parts = stored(parts, "parts")
         visits = match_unique(visits, parts, ["chunk"])
-        meeting = F.xxhash64("chunk", F.pmod(F.xxhash64("row"), F.col("parts")))
-        guests = sets.select("row", "shingles").join(visits.select("row", meeting.alias("chunk")), "row")
-        guests = guests.select("chunk", "row", "shingles", F.lit(True).alias("guest"))
-        hosts = match_unique(sets, parts, ["chunk"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        hosts = hosts.select(F.xxhash64("chunk", F.pmod("part", "parts")).alias("chunk"), "row", "shingles", F.lit(False).alias("guest"))
-        meeting = guests.union(hosts).join(labelled.select("row", "component"), "row")
-        meeting = meeting.select("chunk", "row", "component", "guest", "shingles")
+        place = F.xxhash64("chunk", F.pmod(F.xxhash64("row"), F.col("parts")))
+        points = placed.select("row", "point")
+        guests = points.join(visits.select("row", place.alias("chunk")), "row").select("chunk", F.lit(True).alias("guest"), "row", "point")
+        hosts = match_unique(placed.select("chunk", "row", "point"), parts, ["chunk"])
+        hosts = hosts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        hosts = hosts.select(F.xxhash64("chunk", F.pmod("part", "parts")).alias("chunk"), F.lit(False).alias("guest"), "row", "point")
+
+        def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in _grouped(batches):
+                table = table.combine_chunks()
+                marked = pa.array(possible(points_of(table), percent, int(table.column("guest").to_numpy().argmax())))
+                yield from table.select(["chunk", "guest", "row"]).filter(marked).combine_chunks().to_batches()
+
+        met = guests.union(hosts).repartition("chunk").sortWithinPartitions("chunk", "guest")
+        met = stored(met.mapInArrow(meeting, "chunk bigint, guest boolean, row bigint"), "met")
+        wanted = met.join(placed.select("row", "row_key"), "row").join(labelled.select("row", "component"), "row")
+        meetings = sets_of(stored(wanted.drop("row"), "wanted")).select("chunk", "guest", "component", "shingles")
 
         def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _grouped(batches):
-                guest = np.array(table.column("guest").to_pylist())
-                order = pa.array(np.argsort(guest, kind="stable"))
-                table = table.take(order)
                 names = table.column("component").to_numpy()
-                hosts = int((~guest).sum())
-                own = _sets(table)
-                yield edges_of(link_sets(own, names, percent, hosts), names)
+                hosts = int(table.combine_chunks().column("guest").to_numpy().argmax())
+                yield edges_of(link_sets(_sets(table), names, percent, hosts), names)
 
-        links = meeting.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(across, edge_schema)
+        links = meetings.repartition("chunk").sortWithinPartitions("chunk", "guest").mapInArrow(across, edge_schema)
         again = connected_components(stored(links, "links"))
         again = again.select(F.col("node").alias("component"), F.col("component").alias("whole"))
         merged = match_unique(labelled.select(F.col("row").alias("node"), "component"), again, ["component"], "left")
