@@ -224,7 +224,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held
 
 
-def _row_key(key: str, text: str) -> Column:
+def row_key(key: str, text: str) -> Column:
     """128 bits that tell rows with another key or another text apart."""
     shown = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     return F.unhex(F.md5(F.concat(shown, F.lit("/"), F.coalesce(F.col(text), F.lit(""))).cast("binary")))
@@ -296,7 +296,7 @@ def near_duplicates(
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "row_key", "n", "digest", "firsts", "point"])
 
     id_type = docs.schema[key].dataType.simpleString()
-    keyed = docs.select(F.col(key).alias("id"), _row_key(key, text).alias("row_key"), F.col(text).alias("text"))
+    keyed = docs.select(F.col(key).alias("id"), row_key(key, text).alias("row_key"), F.col(text).alias("text"))
     sketch = keyed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, firsts array<bigint>, point binary")
     sketch = stored(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
     # One row stands for each distinct set: that with the smallest key.

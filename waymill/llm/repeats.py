@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import match_unique
 from ..storage import materialize, new_folder
 from .arrays import U64, mix64, powers, random64, text_bytes
-from .jaccard import _grouped, _repeated, _row_key
+from .jaccard import _grouped, _repeated, row_key
 from .suffixes import suffix_array
 
 GRAM = 40
@@ -191,7 +191,7 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
 
     id_type = docs.schema[key].dataType.simpleString()
     whole = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.select(F.col(key).alias("id"), _row_key(key, text).alias("row_key"), whole.alias("text"))
+    keyed = docs.select(F.col(key).alias("id"), row_key(key, text).alias("row_key"), whole.alias("text"))
     hashed = keyed.select("*", F.unhex(F.sha2("text", 256)).alias("digest"))
     sketch = hashed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, anchors array<{found}>")
     sketch = stored(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
