@@ -61,7 +61,8 @@ def read_directory(file, length: int) -> list[Member]:
     tail_size = min(length, 22 + _FULL16)
     tail = _range(file, length - tail_size, tail_size)
     at = tail.rfind(_END)
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != tail_size:
+    # The record's signature may also stand in the comment after it.
+    while at >= 0 and (at + 22 > tail_size or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != tail_size):
         at = tail.rfind(_END, 0, at)
     if at < 0:
         raise ValueError("no end of central directory")
