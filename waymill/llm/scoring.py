@@ -73,7 +73,7 @@ class Vocabulary:
     @property
     def rest(self) -> float:
         """log10 of the smoothed counts of all words without an output of their own, one unknown word among them."""
-        held = self.counts[self.own]
+        held = self.counts[self.own & (self.counts > 0)]
         return float(np.log10(self.total + 0.5 * (self.distinct + 1) - (held + 0.5).sum()))
 
 
@@ -82,14 +82,14 @@ def build_vocabulary(counts: DataFrame, head: int, outputs: int) -> tuple[Vocabu
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("n"), "word").limit(head).toArrow()
     words, numbers = [bytes(w) for w in top["word"].to_pylist()], top["n"].to_numpy().astype(np.int64)
+    if END not in words:
+        # The end has an output of its own, however rare it is.
+        row = counts.filter(F.col("word") == F.lit(bytearray(END))).first()
+        words, numbers = [*words, END], np.append(numbers, row["n"] if row else 0)
     chosen = list(range(min(outputs - 2, len(words))))
-    if END in words and words.index(END) not in chosen:
+    if words.index(END) not in chosen:
         chosen.append(words.index(END))
     weights = [(numbers[i] + 0.5, i) for i in chosen]
-    if END not in words:
-        # Nothing to learn from: the end has an output all the same.
-        words, numbers = [*words, END], np.append(numbers, 0)
-        weights.append((0.5, len(words) - 1))
     rest = float(total + 0.5 * (distinct + 1) - sum(w for w, _ in weights))
     order = sorted([*weights, (max(rest, 0.5), -1)], key=lambda x: (-x[0], x[1]))
     other = next(k for k, (_, i) in enumerate(order) if i < 0)
