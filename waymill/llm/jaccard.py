@@ -19,7 +19,8 @@ from .shingles import shingle_sets
 
 GROUPS = 128
 _GROUP_BITS = 7
-_CELLS = 1 << 18
+_CELL_BITS = 21
+_CELLS = 1 << _CELL_BITS
 _SLICE = 1 << 12
 _BITS = 1 << 24
 # A chunk has about so many documents and shingles at most, so that one fits in a task.
@@ -178,12 +179,12 @@ def cell_counts(texts: DataFrame, words: int) -> np.ndarray:
         counts, name = np.zeros(_CELLS, np.int64), 0
         for batch in batches:
             for shingles in shingle_sets(batch.column(0), words):
-                np.add.at(counts, (shingles >> U64(46)).astype(np.int64), 1)
+                np.add.at(counts, (shingles >> U64(64 - _CELL_BITS)).astype(np.int64), 1)
                 name = (name + int(shingles[0]) if len(shingles) else name) & 0xFFFF
         yield _in_slices(counts, name)
 
     found = _merged_slices(texts.mapInArrow(counted, _SLICES), np.add)
-    return found if len(found) else np.zeros(_CELLS, np.int64)
+    return np.minimum(found, np.iinfo(np.int32).max).astype(np.int32) if len(found) else np.zeros(_CELLS, np.int32)
 
 
 def key_bits(keys: DataFrame) -> np.ndarray:
@@ -282,22 +283,25 @@ def near_duplicates(
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, firsts, points = [], [], [], []
+            sizes, digests, firsts, points, outlines = [], [], [], [], []
             for shingles in shingle_sets(batch.column(2), words):
                 n = len(shingles)
-                rare = np.argsort(cells.value[(shingles >> U64(46)).astype(np.int64)], kind="stable")
+                rare = np.argsort(cells.value[(shingles >> U64(64 - _CELL_BITS)).astype(np.int64)], kind="stable")
                 sizes.append(n)
-                points.append(fine_vector(shingles).tobytes())
+                fine = fine_vector(shingles)
+                points.append(fine.tobytes())
+                outlines.append(coarse(fine).astype(np.uint32).tobytes())
                 digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if n else None)
                 firsts.append(shingles[rare[: n - (percent * n + 99) // 100 + 1 if n else 0]].view(np.int64))
             offsets = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in firsts]))).astype(np.int32))
             values = pa.array(np.concatenate(firsts) if firsts else np.empty(0, np.int64))
-            arrays = [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, values), pa.array(points, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "row_key", "n", "digest", "firsts", "point"])
+            arrays = [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, values)]
+            arrays += [pa.array(points, pa.binary()), pa.array(outlines, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "row_key", "n", "digest", "firsts", "point", "outline"])
 
     id_type = docs.schema[key].dataType.simpleString()
     keyed = docs.select(F.col(key).alias("id"), row_key(key, text).alias("row_key"), F.col(text).alias("text"))
-    sketch = keyed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, firsts array<bigint>, point binary")
+    sketch = keyed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, firsts array<bigint>, point binary, outline binary")
     sketch = stored(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
     # One row stands for each distinct set: that with the smallest key.
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least")
@@ -309,12 +313,12 @@ def near_duplicates(
     # The chunk of a set: one of its shared shingles, chosen by hash; large ones are divided.
     block = F.min(F.struct(F.xxhash64("shingle").alias("hash"), "shingle"))
     blocks = shared.groupBy("row").agg(block.alias("block")).select("row", F.col("block.shingle").alias("block"))
-    known = stored(sketch.select("row", "row_key", "n", "point").join(blocks, "row"), "known")
+    known = stored(sketch.select("row", "row_key", "n", "point", "outline").join(blocks, "row"), "known")
     loads = known.groupBy("block").agg(F.count("*").alias("docs"), F.sum("n").alias("load"))
     parts = F.greatest(F.ceil(F.col("docs") / _CHUNK_DOCS), F.ceil(F.col("load") / _CHUNK_SHINGLES))
     divided = match_unique(known, loads.select("block", parts.alias("parts")), ["block"])
     chunk = F.xxhash64("block", F.pmod(F.xxhash64("row"), F.col("parts")))
-    placed = stored(divided.select("row", "row_key", chunk.alias("chunk"), "point"), "chunks")
+    placed = stored(divided.select("row", "row_key", chunk.alias("chunk"), "point", "outline"), "chunks")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """The wanted rows (by ``row_key``) with their shingles, from one pass over the texts.
@@ -335,13 +339,13 @@ def near_duplicates(
         found = keyed.select("row_key", "text").mapInArrow(shingled, "row_key binary, shingles binary")
         return found.join(wanted, "row_key").drop("row_key")
 
-    def points_of(table: pa.Table) -> list[np.ndarray]:
-        return [np.frombuffer(x, np.uint8) for x in table.column("point").to_pylist()]
+    def points_of(table: pa.Table, kind: type) -> list[np.ndarray]:
+        return [np.frombuffer(x, kind) for x in table.column("point").to_pylist()]
 
     # By count vectors first: most sets that share a shingle cannot link, and their shingles are never sent.
     def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches):
-            marked = pa.array(possible(points_of(table), percent))
+            marked = pa.array(possible(points_of(table, np.uint8), percent))
             yield from table.select(["chunk", "row"]).filter(marked).combine_chunks().to_batches()
 
     chunks = placed.select("chunk", "row", "point").repartition("chunk").sortWithinPartitions("chunk")
@@ -383,16 +387,17 @@ def near_duplicates(
         parts = stored(parts, "parts")
         visits = match_unique(visits, parts, ["chunk"])
         place = F.xxhash64("chunk", F.pmod(F.xxhash64("row"), F.col("parts")))
-        points = placed.select("row", "point")
-        guests = points.join(visits.select("row", place.alias("chunk")), "row").select("chunk", F.lit(True).alias("guest"), "row", "point")
-        hosts = match_unique(placed.select("chunk", "row", "point"), parts, ["chunk"])
+        # Vectors of few groups will do here: sets that look alike but are in no link are rare among these.
+        points = placed.select("chunk", "row", F.col("outline").alias("point"))
+        guests = points.drop("chunk").join(visits.select("row", place.alias("chunk")), "row").select("chunk", F.lit(True).alias("guest"), "row", "point")
+        hosts = match_unique(points, parts, ["chunk"])
         hosts = hosts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         hosts = hosts.select(F.xxhash64("chunk", F.pmod("part", "parts")).alias("chunk"), F.lit(False).alias("guest"), "row", "point")
 
         def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _grouped(batches):
                 table = table.combine_chunks()
-                marked = pa.array(possible(points_of(table), percent, int(table.column("guest").to_numpy().argmax())))
+                marked = pa.array(possible(points_of(table, np.uint32), percent, int(table.column("guest").to_numpy().argmax())))
                 yield from table.select(["chunk", "guest", "row"]).filter(marked).combine_chunks().to_batches()
 
         met = guests.union(hosts).repartition("chunk").sortWithinPartitions("chunk", "guest")
