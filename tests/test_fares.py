@@ -80,7 +80,7 @@ def test_golden_case(spark, tmp_path):
         (stamp, "250114", "ICN", "인천", "KIX", None, [None], "2501140700", "2501140850", "-", 111000.0, "u4", "-", 0),
     ]
     exported = spark.read.option("header", True).csv(str(tmp_path / "out/csv"))
-    assert tuple(exported.columns) == ITINERARY_COLUMNS
+    assert tuple(exported.columns) == (*ITINERARY_COLUMNS, "extraction")
     # an empty text is written as "" and read back as such
     assert rows(exported, "url", "amount") == [("u2", "215000.0"), ("u4", "111000.0")]
     (first, second) = rows(exported, "url", "carrier_names")
@@ -149,7 +149,13 @@ def test_append_and_overwrite(spark, tmp_path):
     run(spark, tmp_path)
     assert run(spark, tmp_path).count() == 2
     assert run(spark, tmp_path, append=True).count() == 4
-    assert spark.read.option("header", True).csv(str(tmp_path / "out/csv")).count() == 4
+    # another extraction has a folder of its own and leaves the first alone
+    put(tmp_path / "next/flights/2025/01/13/04-05", "a.json", golden())
+    for _ in range(2):
+        both = run_fares(spark, str(tmp_path / "next"), str(tmp_path / "out"))
+        assert rows(both.groupBy("extracted_at").count()) == [("202501130304", 4), ("202501130405", 2)]
+    assert (tmp_path / "out/parquet/extraction=202501130304").is_dir()
+    assert spark.read.option("header", True).csv(str(tmp_path / "out/csv")).count() == 6
 
 
 def test_other_fare_type_and_passenger(spark, tmp_path):

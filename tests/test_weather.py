@@ -105,7 +105,9 @@ def test_absent_column_fails_with_its_name(spark, tmp_path):
 
 def test_unreadable_times_are_counted(spark, raw, tmp_path):
     put(raw, "2024/12/25/ICN_future_2.csv", FORECAST, reading("no time", 7.0))
-    assert forecast(spark, raw, tmp_path) == {"written": 6, "unreadable_times": 1}
+    assert forecast(spark, raw, tmp_path) == {"written": 5, "unreadable_times": 1}
+    undated = spark.read.parquet(str(tmp_path / "target-undated"))
+    assert rows(undated, "airport_code", "timestamp", "temperature_2m") == [("ICN", "no time", 7.0)]
 
 
 def test_only_empty_rows_write_nothing(spark, tmp_path):

@@ -39,6 +39,8 @@ def _arguments() -> argparse.ArgumentParser:
         weather.add_argument("--end", help="last day, today by default")
         weather.add_argument("--per-airport", action="store_true", help="one high-water mark per airport")
         weather.add_argument("--dedupe", action="store_true", help="one row per airport and hour of the batch")
+        weather.add_argument("--lateness-days", type=int, help="do not open files older than the mark by more days")
+        weather.add_argument("--zone", default="UTC", help="zone of the stored times, for times with an offset")
 
     publish = jobs.add_parser("publish", help="profile a catalog table and write it to another")
     publish.add_argument("--source", required=True)
@@ -46,6 +48,7 @@ def _arguments() -> argparse.ArgumentParser:
     publish.add_argument("--path")
     publish.add_argument("--mode", default="append", choices=("append", "overwrite"))
     publish.add_argument("--approximate", action="store_true", help="estimate distinct counts")
+    publish.add_argument("--profile-out", help="Parquet folder for the profile")
     return parser
 
 
@@ -59,7 +62,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if job == "fares":
         run_fares(spark, one_per_file=not options.pop("lines"), **options)
     elif job == "publish":
-        profile_and_publish(spark, **options).show(1000, truncate=False)
+        print(json.dumps([row.asDict() for row in profile_and_publish(spark, **options).collect()], ensure_ascii=False))
     else:
         run = {"operations": run_daily_operations, "forecast": run_forecast, "observed": run_observed}[job]
         print(json.dumps(run(spark, **options)))

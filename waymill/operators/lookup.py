@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# More partitions than any shuffle has: coalescing to it merges nothing.
-_NO_MERGE = 1 << 20
+# The largest number of partitions there can be: coalescing to it merges nothing.
+_NO_MERGE = (1 << 31) - 1
 
 
 def match_unique(left: DataFrame, unique: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

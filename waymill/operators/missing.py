@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,8 +19,29 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"columns missing from the input: {', '.join(absent)}")
 
 
-def typed_readings(df: DataFrame, numbers: Sequence[str], time: str | None = None) -> DataFrame:
-    """Text readings as doubles and, for ``time``, as a timestamp without zone.
+# A time of day, with or without seconds, and the offset after it.
+_OFFSET = r"^(.*\d:\d{2}(?::\d{2}(?:\.\d+)?)?) ?(Z|[+-]\d{2}:?\d{2})$"
+
+
+def wall_time(text: Column | str, zone: str = "UTC") -> Column:
+    """Text as a timestamp without zone.
+
+    A time with an offset (``Z``, ``+09:00``, ``+0900``) is an instant and is given as the time it was in
+    ``zone``; one without stays as it is written.  Unreadable text gives null.  Neither the
+    session's nor the driver's zone plays a part.
+    """
+    text = F.trim(F.col(text) if isinstance(text, str) else text)
+    offset = F.regexp_extract(text, _OFFSET, 2)
+    local = F.when(offset == "", text).otherwise(F.regexp_extract(text, _OFFSET, 1)).try_cast("timestamp_ntz")
+    digits = F.regexp_replace(offset, "[^0-9]", "")
+    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+    minutes = F.when(offset == "Z", 0).when(offset.startswith("-"), -minutes).otherwise(minutes)
+    moved = F.convert_timezone(F.lit("UTC"), F.lit(zone), local - F.make_dt_interval(mins=minutes))
+    return F.when(offset == "", local).otherwise(moved)
+
+
+def typed_readings(df: DataFrame, numbers: Sequence[str], time: str | None = None, zone: str = "UTC") -> DataFrame:
+    """Text readings as doubles and, for ``time``, as a timestamp without zone (``wall_time``).
 
     Unreadable text becomes null, and so does NaN, which would otherwise spoil the mean.
     """
@@ -28,7 +49,7 @@ def typed_readings(df: DataFrame, numbers: Sequence[str], time: str | None = Non
     converted = {name: F.col(name).try_cast("double") for name in numbers}
     converted = {name: F.when(~F.isnan(number), number) for name, number in converted.items()}
     if time:
-        converted[time] = F.col(time).try_cast("timestamp_ntz")
+        converted[time] = wall_time(time, zone)
     return df.withColumns(converted)
 
 
@@ -53,9 +74,10 @@ def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls replaced by 0."""
+    """Nulls replaced by 0, in text columns by '0'."""
     require_columns(df, columns)
-    return df.fillna(0, subset=list(columns))
+    zeros = {name: F.lit(0).cast(df.schema[name].dataType) for name in columns}
+    return df.withColumns({name: F.coalesce(F.col(name), zero) for name, zero in zeros.items()})
 
 
 def most_frequent(df: DataFrame, column: str, ignore_nulls: bool = False, count: str = "n") -> DataFrame:

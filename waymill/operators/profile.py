@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, CalendarIntervalType, DataType, MapType, StructType, VariantType
 
 
 def branch_counts(df: DataFrame, branch: str, total: str = "total") -> DataFrame:
@@ -21,29 +23,43 @@ def branch_counts(df: DataFrame, branch: str, total: str = "total") -> DataFrame
     )
 
 
+def _ordered(kind: DataType) -> bool:
+    """Whether values of the type have an order, and so a least and distinct ones."""
+    if isinstance(kind, StructType):
+        return all(_ordered(field.dataType) for field in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _ordered(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType, CalendarIntervalType))
+
+
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Rows, nulls, distinct values, least and greatest value (as text) of each column.
 
-    ``approximate=True`` estimates the distinct values with a sketch, which spares the
-    shuffle of every distinct value that the exact count needs.
+    ``approximate=True`` estimates the distinct values with a sketch, in the same pass as everything
+    else.  Exact counts group the values of each column by themselves: a scan per column, and only
+    the distinct values of each task are shuffled.  Types without an order, as maps, have no
+    distinct, least and greatest values (null).  Names may hold dots.
     """
     names = list(columns or df.columns)
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    facts = df.agg(
-        F.count("*").alias("n_rows"),
-        *(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.count(name).alias("n_values"),
-                distinct(name).alias("n_distinct"),
-                F.min(name).cast("string").alias("min_value"),
-                F.max(name).cast("string").alias("max_value"),
-            ).alias(f"fact_{position}")
-            for position, name in enumerate(names)
-        ),
-    )
-    per_column = F.explode(F.array(*(f"fact_{position}" for position in range(len(names))))).alias("fact")
-    return facts.select("n_rows", per_column).select(
+    ordered = {name: _ordered(df.schema[name].dataType) for name in names}
+    column = {name: F.col("`" + name.replace("`", "``") + "`") for name in names}
+
+    def known(name: str, value: Column) -> Column:
+        return value.cast("string") if ordered[name] else F.lit(None).cast("string")
+
+    def fact(name: str) -> Column:
+        estimate = F.approx_count_distinct(column[name]) if approximate and ordered[name] else F.lit(None).cast("long")
+        return F.struct(
+            F.lit(name).alias("column_name"),
+            F.count(column[name]).alias("n_values"),
+            estimate.alias("n_distinct"),
+            (known(name, F.min(column[name])) if ordered[name] else known(name, F.lit(None))).alias("min_value"),
+            (known(name, F.max(column[name])) if ordered[name] else known(name, F.lit(None))).alias("max_value"),
+        )
+
+    facts = df.agg(F.count("*").alias("n_rows"), *(fact(name).alias(f"fact_{i}") for i, name in enumerate(names)))
+    per_column = F.explode(F.array(*(f"fact_{i}" for i in range(len(names))))).alias("fact")
+    rows = facts.select("n_rows", per_column).select(
         "fact.column_name",
         "n_rows",
         (F.col("n_rows") - F.col("fact.n_values")).alias("n_null"),
@@ -51,3 +67,16 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approxim
         "fact.min_value",
         "fact.max_value",
     )
+    exact = [name for name in names if ordered[name] and not approximate]
+    if not exact:
+        return rows
+    counts = reduce(
+        DataFrame.union,
+        (
+            df.select(column[name].alias("value")).filter("value is not null").groupBy("value").agg(F.lit(1).alias("one"))
+            .agg(F.count("*").alias("n")).select(F.lit(name).alias("column_name"), "n")
+            for name in exact
+        ),
+    )
+    joined = rows.drop("n_distinct").join(counts, "column_name", "left")
+    return joined.select("column_name", "n_rows", "n_null", F.col("n").alias("n_distinct"), "min_value", "max_value")

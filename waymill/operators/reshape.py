@@ -24,16 +24,24 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def keep_targets(
-    df: DataFrame, targets: DataFrame, code: str, target_code: str | None = None, where: Column | None = None
+    df: DataFrame,
+    targets: DataFrame,
+    code: str,
+    target_code: str | None = None,
+    where: Column | None = None,
+    aggregated: bool = False,
 ) -> DataFrame:
     """Rows whose code is in the target list and for which ``where`` holds; columns stay as they are.
 
     A semi join: repeated targets do not repeat rows, and no column has to be dropped afterwards.
-    The conditions go below it, down to the scan.
+    The conditions go below it, down to the scan, and Spark can put a Bloom filter of a selective
+    target list there, too.  ``aggregated`` says that the list comes from an aggregation by its code
+    and is not small: then hot codes of ``df`` can be split (``match_unique``), but there is no such filter.
     """
     kept = df if where is None else df.filter(where)
     listed = targets.select(F.col(target_code or targets.columns[0]).alias(code))
-    return match_unique(kept, listed, [code], "left_semi").select(*df.columns)
+    joined = match_unique(kept, listed, [code], "left_semi") if aggregated else kept.join(listed, code, "left_semi")
+    return joined.select(*df.columns)
 
 
 def union_all(branches: Sequence[DataFrame]) -> DataFrame:

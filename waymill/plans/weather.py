@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
@@ -15,7 +15,6 @@ from ..operators import (
     fill_zero,
     high_water_marks,
     least_row_per_key,
-    newer_than,
     newer_than_per_key,
     read_mark,
     typed_readings,
@@ -29,12 +28,15 @@ from ..schemas import (
     WEATHER_AIRPORTS,
     WEATHER_FIRST_DAY,
 )
-from ..sinks import append_parquet
+from ..sinks import append_if_any, append_parquet
 from ..sources import FORECAST_FILES, OBSERVED_FILES, DatedCsv, read_backfill, read_dated_csv, read_state
 from ..storage import materialize, scratch_folder
 
 TIME = "timestamp"
 CODE = "airport_code"
+_WRITTEN = "__written_time"
+# Added to the target's path: the table of rows without a readable time.
+UNDATED = "-undated"
 
 _FORECAST_NUMBERS = (*MEAN_FILLED, *FORECAST_ZERO_FILLED, *FORECAST_MODE_FILLED)
 _OBSERVED_NUMBERS = (*MEAN_FILLED, *OBSERVED_ZERO_FILLED)
@@ -70,7 +72,6 @@ def fullest_row_per_hour(batch: DataFrame) -> DataFrame:
 
 
 def _run(
-    spark: SparkSession,
     inputs: list[DataFrame | None],
     state: DataFrame | None,
     target: str,
@@ -80,33 +81,49 @@ def _run(
     dedupe: bool,
     drop_empty: bool,
     compact: bool,
+    zone: str,
 ) -> dict[str, int]:
     present = [df for df in inputs if df is not None]
     if not present:
         return {"written": 0, "unreadable_times": 0}
-    raw = union_all(present)
-    unreadable = F.count_if(F.col(TIME).isNotNull() & F.col(TIME).try_cast("timestamp_ntz").isNull())
-    seen, written = Observation("input"), Observation("output")
-    text = raw.observe(seen, unreadable.alias("n"))
+    text = union_all(present)
+    spark = text.sparkSession
     if drop_empty:
         # Before the conversion: a condition over many converted columns costs the optimizer
         # time that doubles with each of them.
         text = drop_all_null(text, [CODE])
-    readings = typed_readings(text, numbers, TIME)
-    if per_airport and state is not None:
-        batch = newer_than_per_key(readings, TIME, high_water_marks(state, TIME, [CODE]), [CODE])
-    else:
-        batch = newer_than(readings, TIME, read_mark(state, TIME))
-    if dedupe:
-        batch = fullest_row_per_hour(batch)
+    readings = typed_readings(text.withColumn(_WRITTEN, F.col(TIME)), numbers, TIME, zone)
+    by_key = per_airport and state is not None
+    mark = None if by_key else read_mark(state, TIME)
+    if mark is not None:
+        readings = readings.filter(F.col(TIME).isNull() | (F.col(TIME) > mark))
     with scratch_folder(spark, "weather") as work:
-        # The text is parsed once; means, mode and the write all read the stored batch.
-        stored = materialize(batch, f"{work}/batch")
-        skipped = seen.get["n"]
-        if stored.isEmpty():
-            return {"written": 0, "unreadable_times": skipped}
-        append_parquet(clean(stored).observe(written, F.count("*").alias("n")), target, compact)
-    return {"written": written.get["n"], "unreadable_times": skipped}
+        # The text is parsed once; everything after reads the stored batch, and so do the counts.
+        stored = materialize(readings, f"{work}/readings")
+        batch = stored.filter(F.col(TIME).isNotNull()).drop(_WRITTEN)
+        if by_key:
+            batch = newer_than_per_key(batch, TIME, high_water_marks(state, TIME, [CODE]), [CODE])
+        if dedupe:
+            batch = fullest_row_per_hour(batch)
+        if by_key or dedupe:
+            batch = materialize(batch, f"{work}/batch")
+        # Rows that cannot be placed in time are never compared with a mark: they go to a table of their own.
+        undated = stored.filter(F.col(TIME).isNull()).drop(TIME).withColumnRenamed(_WRITTEN, TIME)
+        unreadable = undated.filter(F.col(TIME).isNotNull()).count()
+        append_if_any(undated, target.rstrip("/") + UNDATED)
+        written = batch.count()
+        if written:
+            append_parquet(clean(batch), target, compact)
+    return {"written": written, "unreadable_times": unreadable}
+
+
+def _first_day(state: DataFrame | None, start: str, per_airport: bool, lateness_days: int | None) -> str:
+    """The first day whose files can hold new rows, if files come at most so many days late."""
+    if state is None or lateness_days is None:
+        return start
+    marks = high_water_marks(state, TIME, [CODE]).agg(F.min("latest")) if per_airport else state.agg(F.max(TIME))
+    day = marks.select(F.date_sub(F.col(marks.columns[0]).cast("date"), lateness_days).cast("string")).first()[0]
+    return max(start, day or start)
 
 
 def _range(start: str, end: str | None) -> tuple[str, str]:
@@ -123,16 +140,22 @@ def run_forecast(
     layout: DatedCsv = FORECAST_FILES,
     per_airport: bool = False,
     dedupe: bool = False,
+    lateness_days: int | None = None,
+    zone: str = "UTC",
 ) -> dict[str, int]:
     """Append the forecast rows newer than the target's latest time; returns row counts.
 
     ``per_airport`` compares each airport with its own latest time instead of the latest of all.
-    ``dedupe`` keeps one row per airport and hour of the batch.
+    ``dedupe`` keeps one row per airport and hour of the batch.  Rows without a readable time go, as they are,
+    to the table at ``target`` + ``-undated``.  Times with an offset are stored as the time in ``zone``.
+    ``lateness_days`` promises that files of a day hold nothing newer than the mark once the mark is so many days
+    ahead of it; older files are then not opened.  By default all files are read, and nothing late is lost.
     """
-    files = read_dated_csv(spark, raw, layout, airports, *_range(start, end), code_name=CODE)
     state = read_state(spark, target)
+    start = _first_day(state, start, per_airport, lateness_days)
+    files = read_dated_csv(spark, raw, layout, airports, *_range(start, end), code_name=CODE)
     return _run(
-        spark, [files], state, target, _FORECAST_NUMBERS, fill_forecast, per_airport, dedupe, drop_empty=True, compact=True
+        [files], state, target, _FORECAST_NUMBERS, fill_forecast, per_airport, dedupe, drop_empty=True, compact=True, zone=zone
     )
 
 
@@ -147,16 +170,19 @@ def run_observed(
     backfill: str | None = None,
     per_airport: bool = False,
     dedupe: bool = False,
+    lateness_days: int | None = None,
+    zone: str = "UTC",
 ) -> dict[str, int]:
     """As ``run_forecast`` for observed weather; the first run also takes the backfill files.
 
     The backfill lies in ``raw``/past unless another folder is given.
     """
-    files = read_dated_csv(spark, raw, layout, airports, *_range(start, end), code_name=CODE)
     state = read_state(spark, target)
+    start = _first_day(state, start, per_airport, lateness_days)
+    files = read_dated_csv(spark, raw, layout, airports, *_range(start, end), code_name=CODE)
     inputs = [files]
     if state is None:
         inputs.insert(0, read_backfill(spark, backfill or f"{raw.rstrip('/')}/past", airports, code_name=CODE))
     return _run(
-        spark, inputs, state, target, _OBSERVED_NUMBERS, clean_observed, per_airport, dedupe, drop_empty=False, compact=False
+        inputs, state, target, _OBSERVED_NUMBERS, clean_observed, per_airport, dedupe, drop_empty=False, compact=False, zone=zone
     )

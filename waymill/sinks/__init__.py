@@ -1,3 +1,3 @@
-from .writers import append_if_any, append_parquet, export_csv, overwrite_parquet, publish_table
+from .writers import append_if_any, append_parquet, export_csv, overwrite_parquet, publish_table, write_partitions
 
-__all__ = ["append_if_any", "append_parquet", "export_csv", "overwrite_parquet", "publish_table"]
+__all__ = ["append_if_any", "append_parquet", "export_csv", "overwrite_parquet", "publish_table", "write_partitions"]

@@ -27,9 +27,13 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary folder only in local mode."""
     global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if configured:
+        if not local and ":" not in configured and _file_system(spark, configured)[0].getScheme() == "file":
+            # Without a scheme, and with no other file system set up, it is each machine's own folder.
+            raise ValueError("spark.checkpoint.dir names a folder of each machine; a mounted one needs its scheme")
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="waymill-")
