@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from waymill.llm.columns import fold, group_key, word_count
 from waymill.llm.jaccard import near_duplicates
 from waymill.llm.mixing import emit_copies, mix_sources
-from waymill.llm.pieces import decode_pieces, encode_pieces
+from waymill.llm.pieces import encode_pieces
 from waymill.llm.repeats import repeated_strings, row_key
 from waymill.llm.toxicity import fit_toxicity, score_toxicity
 from waymill.storage import materialize, new_folder
@@ -64,7 +64,7 @@ def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents with their sampled pieces; ``lossless`` tells that decoding gives the text again."""
-    coded = decode_pieces(encode_pieces(docs.select(*COLUMNS)))
+    coded = encode_pieces(docs.select(*COLUMNS), decoded="decoded")
     lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
     return coded.select("doc_id", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces", lossless.alias("lossless"))
 

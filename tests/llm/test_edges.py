@@ -132,6 +132,8 @@ def test_pieces(docs, empty):
     assert all(r["decoded"] == (r["text"] or "") for r in coded) and len(coded) == len(ROWS)
     assert len({tuple(r["pieces"]) for r in coded if r["doc_id"] == 7}) == 1
     assert decode_pieces(encode_pieces(empty)).count() == 0
+    at_once = encode_pieces(docs, decoded="again").collect()
+    assert sorted((r["again"], r["pieces"]) for r in at_once) == sorted((r["decoded"], r["pieces"]) for r in coded)
 
 
 def test_repeats(docs, empty):

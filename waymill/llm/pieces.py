@@ -23,7 +23,7 @@ _LITERAL = 0x110000
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _CUT = re.compile(r"(?<=[^ ]) ")
 _SLICE = 1 << 20
-_BLOCK = 800_000
+_BLOCK = 600_000
 _BASE = U64(0x9E3779B97F4A7C15)
 
 
@@ -152,9 +152,13 @@ class Lattice:
             heads.append(start[whole]), tails.append(first[spot[whole] + 1] + rank[whole]), pieces.append(piece[whole])
             going = (piece != -2) & (rank < wide[spot + 2])
             start, rank, hashes, spot = start[going], rank[going], hashes[going], spot[going] + np.int32(1)
-        head, tail, piece = np.concatenate(heads), np.concatenate(tails), np.concatenate(pieces)
-        by_tail = np.argsort(tail, kind="stable")
-        self.source, tail, self.piece = head[by_tail], tail[by_tail], piece[by_tail]
+        del joined, codes, letters, position, start, rank, hashes, spot, piece, going
+        tail = np.concatenate(tails)
+        by_tail = np.argsort(tail, kind="stable").astype(np.int32)
+        tail = tail[by_tail]
+        self.source = np.concatenate(heads)[by_tail]
+        self.piece = np.concatenate(pieces)[by_tail]
+        del heads, tails, pieces, by_tail
         self.into = np.concatenate(([0], np.cumsum(np.bincount(tail, minlength=first[-1]))))
         log_p = np.where(self.piece < table.n, table.log_p[np.minimum(self.piece, table.n - 1)], 0.0)
         fallback = np.flatnonzero(self.piece >= table.n)
@@ -269,7 +273,15 @@ def _with_bytes(table: PieceTable, pieces: np.ndarray) -> np.ndarray:
 
 
 def encode_pieces(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", name: str = "pieces", model: str = MODEL, alpha: float = 0.5, seed: int = 0
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    name: str = "pieces",
+    decoded: str | None = None,
+    model: str = MODEL,
+    alpha: float = 0.5,
+    seed: int = 0,
 ) -> DataFrame:
     """The documents with ``name``, a segmentation of the whole text sampled by its probability.
 
@@ -277,10 +289,13 @@ def encode_pieces(
     all segmentations.  Random numbers depend on the row's key, the place in the text and the seed only:
     runs agree whatever the partitioning, and repeated rows get the same pieces.  ``model`` is a path that
     every executor has.  Null and empty texts have no pieces; a null key is a key like any other.
-    An input column called ``name`` is replaced.
+    An input column called ``name`` is replaced.  With ``decoded`` the pieces are decoded at once, by what ``decode_pieces``
+    does, into a column of that name; that spares sending them to Python again.
     """
-    docs = docs.drop(name)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"`{name}` array<int>"])
+    added = [name] if decoded is None else [name, decoded]
+    docs = docs.drop(*added)
+    kinds = [f"`{name}` array<int>", f"`{decoded}` string"][: len(added)]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + kinds)
     at_key, at_text = docs.columns.index(key), docs.columns.index(text)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,11 +308,18 @@ def encode_pieces(
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32))
                 values = pa.array(np.concatenate(found) if found else np.empty(0, np.int32), pa.int32())
                 arrays = [*batch.columns, pa.ListArray.from_arrays(offsets, values)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, name])
+                if decoded is not None:
+                    arrays.append(pa.array([_decoded(table, f.tolist()) for f in found], pa.string()))
+                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *added])
 
     return docs.mapInArrow(encoded, schema)
 
 
+def _decoded(table: PieceTable, ids: list[int]) -> str:
+    """The text of pieces, without the space that encoding put before it."""
+    return b"".join(map(table.text.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
+
+
 def decode_pieces(docs: DataFrame, *, pieces: str = "pieces", name: str = "decoded", model: str = MODEL) -> DataFrame:
     """The documents with ``name``, the text of their pieces; exactly what was encoded.  Null pieces give null.
 
@@ -308,13 +330,11 @@ def decode_pieces(docs: DataFrame, *, pieces: str = "pieces", name: str = "decod
     at = docs.columns.index(pieces)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = piece_table(model, 1.0).text.__getitem__
+        table = piece_table(model, 1.0)
         for whole in batches:
             for first in range(0, whole.num_rows, 2000):
                 batch = whole.slice(first, 2000)
-                values = [
-                    None if ids is None else b"".join(map(text, ids)).decode("utf-8", "surrogatepass")[1:] for ids in batch.column(at).to_pylist()
-                ]
+                values = [None if ids is None else _decoded(table, ids) for ids in batch.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.string())], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(decoded, schema)

@@ -18,7 +18,7 @@ from .hosts import host_rules
 from .jaccard import near_duplicates
 from .language import identify_languages, learn_languages
 from .mixing import mix_sources
-from .pieces import decode_pieces, encode_pieces
+from .pieces import encode_pieces
 from .repeats import repeated_strings
 from .scoring import score_documents
 from .toxicity import fit_toxicity, score_toxicity
@@ -125,7 +125,7 @@ def op5_source_mix(t: Tables) -> DataFrame:
 @query()
 def op6_pieces(t: Tables) -> DataFrame:
     """All documents segmented and decoded again."""
-    coded = decode_pieces(encode_pieces(t.documents.select("doc_id", "text")))
+    coded = encode_pieces(t.documents.select("doc_id", "text"), decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("pieces").cast("long").alias("n_pieces"),
