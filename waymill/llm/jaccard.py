@@ -19,7 +19,7 @@ from .shingles import shingle_sets
 
 GROUPS = 128
 _GROUP_BITS = 7
-_CELL_BITS = 21
+_CELL_BITS = 19
 _CELLS = 1 << _CELL_BITS
 _SLICE = 1 << 12
 _BITS = 1 << 24
@@ -160,15 +160,20 @@ def _in_slices(values: np.ndarray, name: int) -> pa.RecordBatch:
 _SLICES = "slice int, bundle int, numbers binary"
 
 
-def _merged_slices(parts: DataFrame, merge: np.ufunc) -> np.ndarray:
+def _merged_slices(parts: DataFrame, merge: np.ufunc, kind: type) -> np.ndarray:
     """The tasks' arrays merged by a function of numpy: slices of some tasks, then of all; only the result comes to the driver."""
 
-    def merged(frame: pd.DataFrame) -> pd.DataFrame:
-        total = merge.reduce([np.frombuffer(x, np.int64) for x in frame["numbers"]])
-        return pd.DataFrame([(frame["slice"].iloc[0], frame["bundle"].iloc[0], total.tobytes())], columns=list(frame.columns))
+    def merging(kind: type):
+        def merged(frame: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros(len(frame["numbers"].iloc[0]) // np.dtype(kind).itemsize, np.int64)
+            for x in frame["numbers"]:
+                merge(total, np.frombuffer(x, kind), out=total)
+            return pd.DataFrame([(frame["slice"].iloc[0], frame["bundle"].iloc[0], total.tobytes())], columns=list(frame.columns))
 
-    some = parts.groupBy("slice", "bundle").applyInPandas(merged, _SLICES)
-    rows = some.groupBy("slice").applyInPandas(merged, _SLICES).orderBy("slice").collect()
+        return merged
+
+    some = parts.groupBy("slice", "bundle").applyInPandas(merging(kind), _SLICES)
+    rows = some.groupBy("slice").applyInPandas(merging(np.int64), _SLICES).orderBy("slice").collect()
     return np.concatenate([np.frombuffer(row["numbers"], np.int64) for row in rows]) if rows else np.empty(0, np.int64)
 
 
@@ -176,14 +181,14 @@ def cell_counts(texts: DataFrame, words: int) -> np.ndarray:
     """How many shingles of all texts fall into each of a fixed number of hash cells; it ranks frequent shingles last."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, name = np.zeros(_CELLS, np.int64), 0
+        counts, name = np.zeros(_CELLS, np.uint32), 0
         for batch in batches:
             for shingles in shingle_sets(batch.column(0), words):
                 np.add.at(counts, (shingles >> U64(64 - _CELL_BITS)).astype(np.int64), 1)
                 name = (name + int(shingles[0]) if len(shingles) else name) & 0xFFFF
         yield _in_slices(counts, name)
 
-    found = _merged_slices(texts.mapInArrow(counted, _SLICES), np.add)
+    found = _merged_slices(texts.mapInArrow(counted, _SLICES), np.add, np.uint32)
     return np.minimum(found, np.iinfo(np.int32).max).astype(np.int32) if len(found) else np.zeros(_CELLS, np.int32)
 
 
@@ -199,7 +204,7 @@ def key_bits(keys: DataFrame) -> np.ndarray:
                 name = (name + int(at[0])) & 0xFFFF
         yield _in_slices(bits, name)
 
-    found = _merged_slices(keys.mapInArrow(marked, _SLICES), np.bitwise_or)
+    found = _merged_slices(keys.mapInArrow(marked, _SLICES), np.bitwise_or, np.int64)
     return found if len(found) else np.zeros(_BITS // 64, np.int64)
 
 
@@ -282,7 +287,7 @@ def near_duplicates(
     cells = spark.sparkContext.broadcast(cell_counts(docs.select(text), words))
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, 2000) for whole in batches for i in range(0, whole.num_rows, 2000)):
             sizes, digests, firsts, points, outlines = [], [], [], [], []
             for shingles in shingle_sets(batch.column(2), words):
                 n = len(shingles)

@@ -11,7 +11,7 @@ from .arrays import LOWER, U64, mix64, powers, random64, row_blocks, text_bytes,
 
 _BASE = 0xD1342543DE82EF95
 _BYTES = random64(np.arange(256), 11)
-_BLOCK = 2_000_000
+_BLOCK = 1_000_000
 _tables: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
 
