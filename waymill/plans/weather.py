@@ -108,9 +108,11 @@ def _run(
         if by_key or dedupe:
             batch = materialize(batch, f"{work}/batch")
         # Rows that cannot be placed in time are never compared with a mark: they go to a table of their own.
-        undated = stored.filter(F.col(TIME).isNull()).drop(TIME).withColumnRenamed(_WRITTEN, TIME)
+        undated = stored.filter(F.col(TIME).isNull()).select(CODE, F.col(_WRITTEN).alias(TIME), *numbers)
         unreadable = undated.filter(F.col(TIME).isNotNull()).count()
-        append_if_any(undated, target.rstrip("/") + UNDATED)
+        known = read_state(spark, target.rstrip("/") + UNDATED)
+        # Files are read again by later runs; what is set aside already stays as it is.
+        append_if_any(undated.dropDuplicates() if known is None else undated.subtract(known), target.rstrip("/") + UNDATED)
         written = batch.count()
         if written:
             append_parquet(clean(batch), target, compact)

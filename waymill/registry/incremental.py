@@ -83,6 +83,15 @@ def write_dated_csv(df: DataFrame, time: Column, code: Column, path: str) -> Non
     tagged.hint("rebalance", "day", "code").write.partitionBy("day", "code").option("header", True).csv(path)
 
 
+def range_and_codes(events: DataFrame) -> tuple[str, str, list[str]]:
+    """First day, last day and all codes of the events; a job is told codes, so these are few."""
+    day = F.col("ts").cast("date")
+    first, last, codes = events.agg(
+        F.min(day).cast("string"), F.max(day).cast("string"), F.sort_array(F.collect_set("event_type"))
+    ).first()
+    return first, last, codes
+
+
 @query(
     """
     SELECT event_id, value, event_type AS airport_code, cast(cast(ts AS date) AS varchar) AS day FROM events
@@ -92,14 +101,14 @@ def daily_csv_scan(t: Tables) -> DataFrame:
     """All days and codes written as CSV files, read back by one scan with day and code from the path."""
     folder = new_folder(t.spark, "dated-csv")
     write_dated_csv(t.events.select("event_id", "value", "ts", "event_type"), F.col("ts"), F.col("event_type"), folder)
-    codes = ["click", "error", "purchase", "signup", "view"]
+    first, last, codes = range_and_codes(t.events)
     scan = read_dated_csv(
         t.spark,
         folder,
         PARTITIONED,
         codes,
-        "2024-01-01",
-        "2024-12-31",
+        first,
+        last,
         columns=["event_id", "value", "ts", "event_type"],
         day_name="day",
     )

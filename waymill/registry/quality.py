@@ -12,6 +12,7 @@ from ..operators import (
     most_frequent,
     newer_than,
     read_mark,
+    typed_readings,
 )
 from ..operators import column_profile as profile
 from ..operators import fill_mean as by_mean
@@ -44,6 +45,41 @@ def fill_zero(t: Tables) -> DataFrame:
     return by_zero(t.events.select("event_id", F.expr(_NO_SIGNUPS).alias("precipitation")), ["precipitation"])
 
 
+@query("SELECT event_id, coalesce(CASE WHEN event_type <> 'click' THEN event_type END, '0') AS kind FROM events")
+def fill_zero_text(t: Tables) -> DataFrame:
+    """Text columns are filled with '0'."""
+    return by_zero(t.events.select("event_id", F.expr("CASE WHEN event_type <> 'click' THEN event_type END").alias("kind")), ["kind"])
+
+
+_HOURS = "(user_id % 12)"
+
+
+@query(
+    f"""
+    SELECT event_id, CASE event_type WHEN 'click' THEN NULL WHEN 'view' THEN date_trunc('second', ts) - {_HOURS} * INTERVAL 1 HOUR
+           WHEN 'error' THEN date_trunc('minute', ts) + {_HOURS} * INTERVAL 1 HOUR ELSE date_trunc('second', ts) END AS read_at,
+           CASE WHEN event_type = 'signup' THEN NULL ELSE value END AS reading
+    FROM events
+    """
+)
+def readings_typed(t: Tables) -> DataFrame:
+    """Text times without an offset, with offsets east and west and with Z, and unreadable ones."""
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    hours = F.lpad((F.col("user_id") % 12).cast("string"), 2, "0")
+    kind = F.col("event_type")
+    times = (
+        F.when(kind == "click", "never")
+        .when(kind == "view", F.concat(text, F.lit("+"), hours, F.lit(":00")))
+        .when(kind == "error", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm"), F.lit("-"), hours, F.lit("00")))
+        .when(kind == "signup", F.concat(text, F.lit("Z")))
+        .otherwise(text)
+    )
+    rows = t.events.select(
+        "event_id", times.alias("read_at"), F.when(kind == "signup", "NaN").otherwise(F.col("value").cast("string")).alias("reading")
+    )
+    return typed_readings(rows, ["reading"], "read_at")
+
+
 def _mode_sql(condition: str, result: str) -> str:
     return f"""
     WITH x AS (SELECT event_id, CASE WHEN {condition} THEN event_type END AS t FROM events),
@@ -171,3 +207,16 @@ def one_row_per_key(t: Tables) -> DataFrame:
 def column_profile(t: Tables) -> DataFrame:
     rows = t.events.select("user_id", F.expr("CASE WHEN value >= 3 THEN event_type END").alias("event_type"), "value")
     return profile(rows)
+
+
+@query(
+    """
+    SELECT 'a.b' AS column_name, count(*) AS n_rows, 0::BIGINT AS n_null, count(DISTINCT user_id) AS n_distinct,
+           cast(min(user_id) AS varchar) AS min_value, cast(max(user_id) AS varchar) AS max_value FROM events
+    UNION ALL SELECT 'entries', count(*), count(*) FILTER (event_type = 'view'), NULL, NULL, NULL FROM events
+    """
+)
+def column_profile_nested(t: Tables) -> DataFrame:
+    """A name with a dot, and a map, which has no order."""
+    entries = F.expr("CASE WHEN event_type <> 'view' THEN map(event_type, value) END").alias("entries")
+    return profile(t.events.select(F.col("user_id").alias("a.b"), entries))
