@@ -288,25 +288,23 @@ def near_duplicates(
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(i, 2000) for whole in batches for i in range(0, whole.num_rows, 2000)):
-            sizes, digests, firsts, points, outlines = [], [], [], [], []
+            sizes, digests, firsts, points = [], [], [], []
             for shingles in shingle_sets(batch.column(2), words):
                 n = len(shingles)
                 rare = np.argsort(cells.value[(shingles >> U64(64 - _CELL_BITS)).astype(np.int64)], kind="stable")
                 sizes.append(n)
-                fine = fine_vector(shingles)
-                points.append(fine.tobytes())
-                outlines.append(coarse(fine).astype(np.uint32).tobytes())
+                points.append(fine_vector(shingles).tobytes())
                 digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if n else None)
                 firsts.append(shingles[rare[: n - (percent * n + 99) // 100 + 1 if n else 0]].view(np.int64))
             offsets = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in firsts]))).astype(np.int32))
             values = pa.array(np.concatenate(firsts) if firsts else np.empty(0, np.int64))
             arrays = [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, values)]
-            arrays += [pa.array(points, pa.binary()), pa.array(outlines, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "row_key", "n", "digest", "firsts", "point", "outline"])
+            arrays.append(pa.array(points, pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "row_key", "n", "digest", "firsts", "point"])
 
     id_type = docs.schema[key].dataType.simpleString()
     keyed = docs.select(F.col(key).alias("id"), row_key(key, text).alias("row_key"), F.col(text).alias("text"))
-    sketch = keyed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, firsts array<bigint>, point binary, outline binary")
+    sketch = keyed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, firsts array<bigint>, point binary")
     sketch = stored(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
     # One row stands for each distinct set: that with the smallest key.
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least")
@@ -318,12 +316,14 @@ def near_duplicates(
     # The chunk of a set: one of its shared shingles, chosen by hash; large ones are divided.
     block = F.min(F.struct(F.xxhash64("shingle").alias("hash"), "shingle"))
     blocks = shared.groupBy("row").agg(block.alias("block")).select("row", F.col("block.shingle").alias("block"))
-    known = stored(sketch.select("row", "row_key", "n", "point", "outline").join(blocks, "row"), "known")
+    known = stored(sketch.select("row", "row_key", "n").join(blocks, "row"), "known")
     loads = known.groupBy("block").agg(F.count("*").alias("docs"), F.sum("n").alias("load"))
     parts = F.greatest(F.ceil(F.col("docs") / _CHUNK_DOCS), F.ceil(F.col("load") / _CHUNK_SHINGLES))
     divided = match_unique(known, loads.select("block", parts.alias("parts")), ["block"])
     chunk = F.xxhash64("block", F.pmod(F.xxhash64("row"), F.col("parts")))
-    placed = stored(divided.select("row", "row_key", chunk.alias("chunk"), "point", "outline"), "chunks")
+    placed = divided.select("row", "row_key", chunk.alias("chunk"))
+    # The vectors are attached last, and so sent once.
+    placed = stored(sketch.select("row", "point").join(placed, "row"), "chunks")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """The wanted rows (by ``row_key``) with their shingles, from one pass over the texts.
@@ -344,13 +344,13 @@ def near_duplicates(
         found = keyed.select("row_key", "text").mapInArrow(shingled, "row_key binary, shingles binary")
         return found.join(wanted, "row_key").drop("row_key")
 
-    def points_of(table: pa.Table, kind: type) -> list[np.ndarray]:
-        return [np.frombuffer(x, kind) for x in table.column("point").to_pylist()]
+    def points_of(table: pa.Table) -> list[np.ndarray]:
+        return [np.frombuffer(x, np.uint8) for x in table.column("point").to_pylist()]
 
     # By count vectors first: most sets that share a shingle cannot link, and their shingles are never sent.
     def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches):
-            marked = pa.array(possible(points_of(table, np.uint8), percent))
+            marked = pa.array(possible(points_of(table), percent))
             yield from table.select(["chunk", "row"]).filter(marked).combine_chunks().to_batches()
 
     chunks = placed.select("chunk", "row", "point").repartition("chunk").sortWithinPartitions("chunk")
@@ -381,8 +381,13 @@ def near_duplicates(
     places = stored(places, "places")
     best = places.groupBy("shingle", "chunk").agg(F.max("rank").alias("best"))
     mixed = places.groupBy("shingle").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).filter("low <> high").select("shingle")
-    moving = match_unique(places, mixed, ["shingle"], "left_semi").select("shingle", "row", "rank", F.col("chunk").alias("own"))
-    meets = match_unique(moving, best, ["shingle"]).filter("best > rank and chunk <> own")
+    # Near copies have many shingles in common, whose sets lie in the same chunks: such shingles are one kind.
+    held = F.xxhash64(F.bit_xor(F.xxhash64("chunk", "best")), F.count("*"))
+    best = stored(match_unique(best, mixed, ["shingle"], "left_semi"), "best")
+    kinds = stored(best.groupBy("shingle").agg(held.alias("kind")), "kinds")
+    lists = match_unique(best, kinds.groupBy("kind").agg(F.min("shingle").alias("shingle")), ["shingle"])
+    moving = match_unique(places, kinds, ["shingle"]).select("kind", "row", "rank", F.col("chunk").alias("own")).dropDuplicates()
+    meets = match_unique(moving, lists.select("kind", "chunk", "best"), ["kind"]).filter("best > rank and chunk <> own")
     visits = stored(meets.select("row", "chunk").dropDuplicates(), "visits")
     if visits.isEmpty():
         merged = found.select("node", "component")
@@ -392,8 +397,7 @@ def near_duplicates(
         parts = stored(parts, "parts")
         visits = match_unique(visits, parts, ["chunk"])
         place = F.xxhash64("chunk", F.pmod(F.xxhash64("row"), F.col("parts")))
-        # Vectors of few groups will do here: sets that look alike but are in no link are rare among these.
-        points = placed.select("chunk", "row", F.col("outline").alias("point"))
+        points = placed.select("chunk", "row", "point")
         guests = points.drop("chunk").join(visits.select("row", place.alias("chunk")), "row").select("chunk", F.lit(True).alias("guest"), "row", "point")
         hosts = match_unique(points, parts, ["chunk"])
         hosts = hosts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -402,7 +406,7 @@ def near_duplicates(
         def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in _grouped(batches):
                 table = table.combine_chunks()
-                marked = pa.array(possible(points_of(table, np.uint32), percent, int(table.column("guest").to_numpy().argmax())))
+                marked = pa.array(possible(points_of(table), percent, int(table.column("guest").to_numpy().argmax())))
                 yield from table.select(["chunk", "guest", "row"]).filter(marked).combine_chunks().to_batches()
 
         met = guests.union(hosts).repartition("chunk").sortWithinPartitions("chunk", "guest")
