@@ -38,6 +38,10 @@ HEADLINES = (
     "fill_mode_null_group",
     "weather_batch_clean",
     "column_profile",
+    "fare_documents_to_itineraries",
+    "nested_json_scan",
+    "daily_csv_scan",
+    "forecast_job",
     "parquet_append_roundtrip",
     "csv_export_roundtrip",
 )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,13 +69,9 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approxim
     exact = [name for name in names if ordered[name] and not approximate]
     if not exact:
         return rows
-    counts = reduce(
-        DataFrame.union,
-        (
-            df.select(column[name].alias("value")).filter("value is not null").groupBy("value").agg(F.lit(1).alias("one"))
-            .agg(F.count("*").alias("n")).select(F.lit(name).alias("column_name"), "n")
-            for name in exact
-        ),
-    )
-    joined = rows.drop("n_distinct").join(counts, "column_name", "left")
-    return joined.select("column_name", "n_rows", "n_null", F.col("n").alias("n_distinct"), "min_value", "max_value")
+    # Each count is a subquery of its own over its column alone.
+    found = F.lit(None).cast("long")
+    for name in exact:
+        values = df.select(column[name].alias("value")).filter("value is not null").groupBy("value").agg(F.lit(1).alias("one"))
+        found = F.when(F.col("column_name") == name, values.agg(F.count("*")).scalar()).otherwise(found)
+    return rows.withColumn("n_distinct", found)
