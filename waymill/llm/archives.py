@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators import match_unique
 from ..storage import materialize, new_folder
+from .arrays import released
 
 RECORDS = "archive/data.warc.gz"
 INDEX = "indexes/index.cdxj"
@@ -282,7 +283,7 @@ def write_archives(
             [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()))], names=["path", "length", "records"]
         )
 
-    written = rows.mapInArrow(packed, "path string, length bigint, records bigint")
+    written = rows.mapInArrow(released(packed), "path string, length bigint, records bigint")
     return materialize(written, new_folder(pages.sparkSession, "packages"))
 
 
@@ -315,7 +316,7 @@ def locate_records(packages: DataFrame, *, range_bytes: int = 8 << 20) -> DataFr
                 types = (pa.string(), pa.int64(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["path", "start", "sizes"])
 
-    return packages.select("path", "length").mapInArrow(located, "path string, start bigint, sizes array<bigint>")
+    return packages.select("path", "length").mapInArrow(released(located), "path string, start bigint, sizes array<bigint>")
 
 
 def read_archives(packages: DataFrame, *, range_bytes: int = 8 << 20, payloads: bool = True) -> DataFrame:
@@ -343,4 +344,4 @@ def read_archives(packages: DataFrame, *, range_bytes: int = 8 << 20, payloads:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), arrow)], names=names)
 
     ranges = locate_records(packages.repartition("path"), range_bytes=range_bytes)
-    return ranges.repartition("path", "start").mapInArrow(fetched, schema)
+    return ranges.repartition("path", "start").mapInArrow(released(fetched), schema)

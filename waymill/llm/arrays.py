@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,30 @@ U64 = np.uint64
 _MASK = (1 << 64) - 1
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(function: Callable) -> Callable:
+    """A function over Arrow batches whose worker gives its memory back when a partition ends.
+
+    Workers live on between stages; without this each keeps the most that any stage has needed.
+    """
+
+    @wraps(function)
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column and the offset of each row in them; null counts as empty."""
     if column.null_count:

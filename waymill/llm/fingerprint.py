@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U64, mix64
+from .arrays import U64, mix64, released
 from .neighbours import with_following
 
 # Two bases modulo the prime 2^31 - 1: equal spans have equal pairs of hashes, different ones hardly ever.
@@ -144,7 +144,7 @@ def fingerprints(docs: DataFrame, *, text: str = "text", name: str = "fingerprin
             marks = [fingerprint_of(PrefixHashes(code_points(v.as_py() or ""))) for v in batch.column(place)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.string())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(marked, schema)
+    return docs.mapInArrow(released(marked), schema)
 
 
 @lru_cache(maxsize=2)

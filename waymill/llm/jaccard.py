@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import match_unique
 from ..storage import materialize, new_folder
-from .arrays import U64
+from .arrays import U64, released
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -188,7 +188,7 @@ def cell_counts(texts: DataFrame, words: int) -> np.ndarray:
                 name = (name + int(shingles[0]) if len(shingles) else name) & 0xFFFF
         yield _in_slices(counts, name)
 
-    found = _merged_slices(texts.mapInArrow(counted, _SLICES), np.add, np.uint32)
+    found = _merged_slices(texts.mapInArrow(released(counted), _SLICES), np.add, np.uint32)
     return np.minimum(found, np.iinfo(np.int32).max).astype(np.int32) if len(found) else np.zeros(_CELLS, np.int32)
 
 
@@ -204,7 +204,7 @@ def key_bits(keys: DataFrame) -> np.ndarray:
                 name = (name + int(at[0])) & 0xFFFF
         yield _in_slices(bits, name)
 
-    found = _merged_slices(keys.mapInArrow(marked, _SLICES), np.bitwise_or, np.int64)
+    found = _merged_slices(keys.mapInArrow(released(marked), _SLICES), np.bitwise_or, np.int64)
     return found if len(found) else np.zeros(_BITS // 64, np.int64)
 
 
@@ -304,7 +304,7 @@ def near_duplicates(
 
     id_type = docs.schema[key].dataType.simpleString()
     keyed = docs.select(F.col(key).alias("id"), row_key(key, text).alias("row_key"), F.col(text).alias("text"))
-    sketch = keyed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, firsts array<bigint>, point binary")
+    sketch = keyed.mapInArrow(released(sketched), f"id {id_type}, row_key binary, n bigint, digest binary, firsts array<bigint>, point binary")
     sketch = stored(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
     # One row stands for each distinct set: that with the smallest key.
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least")
@@ -312,7 +312,7 @@ def near_duplicates(
     classes = stored(classes, "classes")
     chosen = sketch.select("row", "firsts").join(classes.select("row"), "row")
     spread = chosen.select(F.explode("firsts").alias("shingle"), "row").repartition("shingle").sortWithinPartitions("shingle")
-    shared = stored(spread.mapInArrow(_repeated, "shingle bigint, row bigint"), "shared")
+    shared = stored(spread.mapInArrow(released(_repeated), "shingle bigint, row bigint"), "shared")
     # The chunk of a set: one of its shared shingles, chosen by hash; large ones are divided.
     block = F.min(F.struct(F.xxhash64("shingle").alias("hash"), "shingle"))
     blocks = shared.groupBy("row").agg(block.alias("block")).select("row", F.col("block.shingle").alias("block"))
@@ -341,7 +341,7 @@ def near_duplicates(
                     raw = [s.tobytes() for s in shingle_sets(some.column(1), words)]
                     yield pa.RecordBatch.from_arrays([some.column(0), pa.array(raw, pa.binary())], names=["row_key", "shingles"])
 
-        found = keyed.select("row_key", "text").mapInArrow(shingled, "row_key binary, shingles binary")
+        found = keyed.select("row_key", "text").mapInArrow(released(shingled), "row_key binary, shingles binary")
         return found.join(wanted, "row_key").drop("row_key")
 
     def points_of(table: pa.Table) -> list[np.ndarray]:
@@ -354,7 +354,7 @@ def near_duplicates(
             yield from table.select(["chunk", "row"]).filter(marked).combine_chunks().to_batches()
 
     chunks = placed.select("chunk", "row", "point").repartition("chunk").sortWithinPartitions("chunk")
-    hopes = stored(chunks.mapInArrow(hopeful, "chunk bigint, row bigint"), "hopes")
+    hopes = stored(chunks.mapInArrow(released(hopeful), "chunk bigint, row bigint"), "hopes")
     wanted = stored(placed.select("row", "row_key").join(hopes, "row"), "wanted")
     sets = sets_of(wanted).select("chunk", "row", "shingles")
     edge_schema = "a bigint, b bigint"
@@ -368,7 +368,7 @@ def near_duplicates(
             rows, own = table.column("row").to_numpy(), _sets(table)
             yield edges_of(link_sets(own, rows, percent), rows)
 
-    edges = stored(sets.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(within, edge_schema), "links")
+    edges = stored(sets.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(released(within), edge_schema), "links")
     found = connected_components(edges)
     component = F.coalesce("component", "row").alias("component")
     labelled = match_unique(placed.select("row", "chunk"), found.withColumnRenamed("node", "row"), ["row"], "left")
@@ -410,7 +410,7 @@ def near_duplicates(
                 yield from table.select(["chunk", "guest", "row"]).filter(marked).combine_chunks().to_batches()
 
         met = guests.union(hosts).repartition("chunk").sortWithinPartitions("chunk", "guest")
-        met = stored(met.mapInArrow(meeting, "chunk bigint, guest boolean, row bigint"), "met")
+        met = stored(met.mapInArrow(released(meeting), "chunk bigint, guest boolean, row bigint"), "met")
         wanted = met.join(placed.select("row", "row_key"), "row").join(labelled.select("row", "component"), "row")
         meetings = sets_of(stored(wanted.drop("row"), "wanted")).select("chunk", "guest", "component", "shingles")
 
@@ -420,7 +420,7 @@ def near_duplicates(
                 hosts = int(table.combine_chunks().column("guest").to_numpy().argmax())
                 yield edges_of(link_sets(_sets(table), names, percent, hosts), names)
 
-        links = meetings.repartition("chunk").sortWithinPartitions("chunk", "guest").mapInArrow(across, edge_schema)
+        links = meetings.repartition("chunk").sortWithinPartitions("chunk", "guest").mapInArrow(released(across), edge_schema)
         again = connected_components(stored(links, "links"))
         again = again.select(F.col("node").alias("component"), F.col("component").alias("whole"))
         merged = match_unique(labelled.select(F.col("row").alias("node"), "component"), again, ["component"], "left")

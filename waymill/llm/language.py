@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import materialize, new_folder
-from .arrays import LOWER, text_bytes
+from .arrays import LOWER, released, text_bytes
 
 GRAM = 4
 _PIECE = 4_000_000
@@ -156,7 +156,7 @@ def learn_languages(
     n-grams, whatever the size of the corpus; no more than these are sent to the driver.
     """
     learnt = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
-    counts = learnt.mapInArrow(_count_batches, "lang string, gram bigint, n bigint")
+    counts = learnt.mapInArrow(released(_count_batches), "lang string, gram bigint, n bigint")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = materialize(counts, new_folder(docs.sparkSession, "grams"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -207,4 +207,4 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, *, text: str =
             arrays = [batch.column(i + 1) for i in range(len(names))] + [pa.array(preds, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, "lang_pred", "score"])
 
-    return docs.select(F.col(text).alias("__text"), *names).mapInArrow(predicted, schema)
+    return docs.select(F.col(text).alias("__text"), *names).mapInArrow(released(predicted), schema)

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import released
+
 
 def with_following(
     docs: DataFrame, key: str, text: str, make: Callable[[object, str, str], tuple], schema: str, arrow: pa.Schema
@@ -63,4 +65,4 @@ def with_following(
             arrays = [pa.array([r[i] for r in results], f.type) for i, f in enumerate(arrow)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    return sent.select("key", "text", "of", "copy").mapInArrow(paired, schema)
+    return sent.select("key", "text", "of", "copy").mapInArrow(released(paired), schema)

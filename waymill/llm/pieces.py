@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U64, mix64
+from .arrays import U64, mix64, released
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -312,7 +312,7 @@ def encode_pieces(
                     arrays.append(pa.array([_decoded(table, f.tolist()) for f in found], pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *added])
 
-    return docs.mapInArrow(encoded, schema)
+    return docs.mapInArrow(released(encoded), schema)
 
 
 def _decoded(table: PieceTable, ids: list[int]) -> str:
@@ -337,4 +337,4 @@ def decode_pieces(docs: DataFrame, *, pieces: str = "pieces", name: str = "decod
                 values = [None if ids is None else _decoded(table, ids) for ids in batch.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.string())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(decoded, schema)
+    return docs.mapInArrow(released(decoded), schema)

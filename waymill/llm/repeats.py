@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import match_unique
 from ..storage import materialize, new_folder
-from .arrays import U64, mix64, powers, random64, text_bytes
+from .arrays import U64, mix64, powers, random64, released, text_bytes
 from .jaccard import _grouped, _repeated, row_key
 from .suffixes import suffix_array
 
@@ -193,13 +193,13 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     whole = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(F.col(key).alias("id"), row_key(key, text).alias("row_key"), whole.alias("text"))
     hashed = keyed.select("*", F.unhex(F.sha2("text", 256)).alias("digest"))
-    sketch = hashed.mapInArrow(sketched, f"id {id_type}, row_key binary, n bigint, digest binary, anchors array<{found}>")
+    sketch = hashed.mapInArrow(released(sketched), f"id {id_type}, row_key binary, n bigint, digest binary, anchors array<{found}>")
     sketch = stored(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")
     classes = sketch.groupBy("digest").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
     classes = stored(classes, "classes")
     chosen = sketch.join(classes.select("row"), "row").select(F.explode("anchors").alias("a"), "row")
     spread = chosen.select("a.hash", "a.at", "a.least", "a.most", "row").repartition("hash").sortWithinPartitions("hash")
-    shared = stored(spread.mapInArrow(_repeated, "hash bigint, at int, least int, most int, row bigint"), "shared")
+    shared = stored(spread.mapInArrow(released(_repeated), "hash bigint, at int, least int, most int, row bigint"), "shared")
     hot = shared.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") > _HOT).select("hash", F.lit(True).alias("hot"))
     marked = match_unique(shared, hot, ["hash"], "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     marks = marked.groupBy("row").agg(F.collect_list(F.struct("hash", "at", "least", "most", "hot")).alias("marks"))
@@ -251,7 +251,7 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
                 rows += [(k, d, *v, None, None) for (k, d), v in distinct.items()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * 8, ctx_arrow)], schema=ctx_arrow)
 
-    pieces = stored(affected.mapInArrow(contexts, ctx_schema), "contexts")
+    pieces = stored(affected.mapInArrow(released(contexts), ctx_schema), "contexts")
     meeting = pieces.filter("times is not null").select("key", "digest", "least", "before", "after", "times")
     meeting = meeting.repartition("key").sortWithinPartitions("key", "digest")
 
@@ -285,7 +285,7 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
         if run:
             yield rows()
 
-    results = stored(meeting.mapInArrow(judged, "key bigint, digest bigint, offsets array<int>"), "judged")
+    results = stored(meeting.mapInArrow(released(judged), "key bigint, digest bigint, offsets array<int>"), "judged")
     occurrences = pieces.filter("times is null").select("key", "digest", "row", "at")
     hits = match_unique(occurrences, results, ["key", "digest"])
     hits = hits.groupBy("row").agg(F.collect_list(F.struct("at", "offsets")).alias("hits"))
@@ -314,7 +314,7 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["row", "spans", "kept_sha256", "kept_text"])
 
     spans = "array<struct<start: bigint, end: bigint>>"
-    cut_rows = stored(texts.mapInArrow(cut, f"row bigint, spans {spans}, kept_sha256 string, kept_text string"), "cut")
+    cut_rows = stored(texts.mapInArrow(released(cut), f"row bigint, spans {spans}, kept_sha256 string, kept_text string"), "cut")
     done = match_unique(classes, cut_rows, ["row"], "left").drop("row")
     done = match_unique(sketch.select("id", "row_key", "n", "digest"), done, ["digest"])
     gone = (F.col("copies") > 1) & (F.col("n") >= length)

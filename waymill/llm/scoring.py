@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import match_unique
 from ..storage import materialize, new_folder
+from .arrays import released
 from .recurrent import Network, score_texts, train
 
 # No word is empty, so that the empty word can stand for a text's end.
@@ -154,7 +155,7 @@ def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Netwo
                 arrays = [np.arange(n, dtype=np.int32), np.full(n, name % 64, np.int32), np.full(n, float(tokens))]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(slices, pa.binary())], names=["slice", "bundle", "weight", "numbers"])
 
-        results = docs.filter(part == turn).select(text).mapInArrow(trained, schema)
+        results = docs.filter(part == turn).select(text).mapInArrow(released(trained), schema)
         bundled = results.groupBy("slice", "bundle").applyInPandas(merged, schema)
         whole = bundled.groupBy("slice").applyInPandas(merged, schema).orderBy("slice").collect()
         if whole:
@@ -191,7 +192,7 @@ def score_documents(
     spark = docs.sparkSession
     used = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(learnt_from, F.lit(False)).alias("learn"))
     learn = used.filter("learn")
-    counts = learn.select("text").mapInArrow(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = learn.select("text").mapInArrow(released(_count_words), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialize(counts, new_folder(spark, "words"))
     vocabulary, behind = build_vocabulary(counts, head, outputs)
     end = int(vocabulary.ids[vocabulary.ranks[END]])
@@ -242,7 +243,7 @@ def score_documents(
 
     key_type = used.schema["key"].dataType.simpleString()
     schema = f"key {key_type}, n_tokens bigint, n_known bigint, base double, score double, others array<binary>"
-    parts = used.select("key", "text").mapInArrow(scored, schema).withColumn("row", F.monotonically_increasing_id())
+    parts = used.select("key", "text").mapInArrow(released(scored), schema).withColumn("row", F.monotonically_increasing_id())
     parts = materialize(parts, new_folder(spark, "scores"))
     # Each word outside the head meets its count; what it adds is the same for both scores.
     others = parts.select("row", F.explode("others").alias("word"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize, new_folder
+from .arrays import released
 
 _PUNCTUATION = b".,;:!?\"'()[]{}<>*#%&$|-_/"
 _FLUSH = 200_000
@@ -189,7 +190,7 @@ def fit_toxicity(
     n_all, n_toxic = examples.agg(F.count("*"), F.coalesce(F.sum("__label"), F.lit(0))).first()
     terms: dict[bytes, int] = {}
     if 0 < n_toxic < n_all:
-        present = examples.select("__label", "__text").mapInArrow(_presence, "term binary, toxic bigint, n bigint")
+        present = examples.select("__label", "__text").mapInArrow(released(_presence), "term binary, toxic bigint, n bigint")
         present = present.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
         lift = F.col("toxic") / F.col("n") >= least_lift * n_toxic / n_all
         strength = _association("toxic", "n", int(n_toxic), int(n_all))
@@ -209,7 +210,7 @@ def fit_toxicity(
 
     idf = np.ones(len(terms))
     if terms:
-        counts = docs.select(text).mapInArrow(frequencies, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+        counts = docs.select(text).mapInArrow(released(frequencies), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
         found = {row["term"]: row["n"] for row in counts.collect()}
         total = found.get(-1, 0)
         idf = np.array([1 + math.log((total + 1) / (found.get(i, 0) + 1)) for i in range(len(terms))])
@@ -224,7 +225,7 @@ def fit_toxicity(
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "label", "terms", "counts"])
 
-    rows = examples.mapInArrow(counted, "id bigint, label int, terms array<int>, counts array<int>").toArrow().to_pylist()
+    rows = examples.mapInArrow(released(counted), "id bigint, label int, terms array<int>, counts array<int>").toArrow().to_pylist()
     return _indexed(rows, terms, idf, neighbours, block)
 
 
@@ -299,4 +300,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text: str = "text",
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, *added])
 
-    return docs.select(*names).mapInArrow(scored, schema)
+    return docs.select(*names).mapInArrow(released(scored), schema)
