@@ -26,6 +26,8 @@ _BITS = 1 << 24
 # A chunk has about so many documents and shingles at most, so that one fits in a task.
 _CHUNK_DOCS = 1024
 _CHUNK_SHINGLES = 1 << 20
+# Visits that a task remembers before it starts anew.
+_REMEMBERED = 1_000_000
 
 
 def fine_vector(shingles: np.ndarray) -> np.ndarray:
@@ -254,6 +256,37 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
+def _visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, row, chunk, weight, component), sorted by shingle → which rows are to visit which chunks (``row``, ``chunk``).
+
+    Of two sets of different components that share a shingle, that of the smaller one (by weight, then name) visits the
+    other's chunk, unless both are in it.  Near copies share many shingles; what the task has given already is left out
+    as long as it is remembered.
+    """
+    seen: set[tuple[int, int]] = set()
+    for table in _grouped(batches):
+        rows, chunks, weights, components = (table.column(c).to_numpy() for c in ("row", "chunk", "weight", "component"))
+        if (components == components[0]).all():
+            continue
+        order = np.lexsort((components, weights))
+        rank = np.empty(len(rows), np.int64)
+        # Equal ranks for sets of one component.
+        steps = np.concatenate(([0], (components[order[1:]] != components[order[:-1]]).astype(np.int64)))
+        rank[order] = np.cumsum(steps)
+        names, of = np.unique(chunks, return_inverse=True)
+        best = np.zeros(len(names), np.int64)
+        np.maximum.at(best, of, rank)
+        for k in range(len(names)):
+            go = rows[(rank < best[k]) & (of != k)].tolist()
+            new = [pair for pair in zip(go, [int(names[k])] * len(go)) if pair not in seen]
+            if new:
+                seen.update(new)
+                columns = [pa.array(c, pa.int64()) for c in zip(*new)]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "chunk"])
+        if len(seen) > _REMEMBERED:
+            seen.clear()
+
+
 def _sets(table: pa.Table) -> list[np.ndarray]:
     return [np.frombuffer(x, U64) for x in table.column("shingles").to_pylist()]
 
@@ -375,20 +408,11 @@ def near_duplicates(
     labelled = stored(labelled.select("row", "chunk", component), "labelled")
     weights = labelled.groupBy("component").agg(F.count("*").alias("weight"))
     labelled = stored(match_unique(labelled, weights, ["component"]), "weighed")
-    # Which chunks hold, for a shingle, a set of a component that is larger than mine (or as large, with a larger name).
-    rank = F.struct("weight", "component")
-    places = match_unique(shared, labelled.withColumn("rank", rank).select("row", "chunk", "rank"), ["row"])
-    places = stored(places, "places")
-    best = places.groupBy("shingle", "chunk").agg(F.max("rank").alias("best"))
-    mixed = places.groupBy("shingle").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).filter("low <> high").select("shingle")
-    # Near copies have many shingles in common, whose sets lie in the same chunks: such shingles are one kind.
-    held = F.xxhash64(F.bit_xor(F.xxhash64("chunk", "best")), F.count("*"))
-    best = stored(match_unique(best, mixed, ["shingle"], "left_semi"), "best")
-    kinds = stored(best.groupBy("shingle").agg(held.alias("kind")), "kinds")
-    lists = match_unique(best, kinds.groupBy("kind").agg(F.min("shingle").alias("shingle")), ["shingle"])
-    moving = match_unique(places, kinds, ["shingle"]).select("kind", "row", "rank", F.col("chunk").alias("own")).dropDuplicates()
-    meets = match_unique(moving, lists.select("kind", "chunk", "best"), ["kind"]).filter("best > rank and chunk <> own")
-    visits = stored(meets.select("row", "chunk").dropDuplicates(), "visits")
+    # Sets of smaller components visit the chunks in which larger ones share a shingle with them.
+    places = match_unique(shared, labelled.select("row", "chunk", "weight", "component"), ["row"])
+    places = places.select("shingle", "row", "chunk", "weight", "component").repartition("shingle").sortWithinPartitions("shingle")
+    visits = stored(places.mapInArrow(released(_visits), "row bigint, chunk bigint"), "visits").dropDuplicates()
+    visits = stored(visits, "distinct-visits")
     if visits.isEmpty():
         merged = found.select("node", "component")
     else:
