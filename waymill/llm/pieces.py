@@ -23,7 +23,7 @@ _LITERAL = 0x110000
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _CUT = re.compile(r"(?<=[^ ]) ")
 _SLICE = 1 << 20
-_BLOCK = 600_000
+_BLOCK = 300_000
 _BASE = U64(0x9E3779B97F4A7C15)
 
 
@@ -301,8 +301,8 @@ def encode_pieces(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(model, alpha)
         for whole in batches:
-            for first in range(0, whole.num_rows, 2000):
-                batch = whole.slice(first, 2000)
+            for first in range(0, whole.num_rows, 1000):
+                batch = whole.slice(first, 1000)
                 seeds = [row_seed(k, seed) for k in batch.column(at_key).to_pylist()]
                 found = sample_pieces(table, seeds, [t or "" for t in batch.column(at_text).to_pylist()])
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32))
@@ -332,8 +332,8 @@ def decode_pieces(docs: DataFrame, *, pieces: str = "pieces", name: str = "decod
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(model, 1.0)
         for whole in batches:
-            for first in range(0, whole.num_rows, 2000):
-                batch = whole.slice(first, 2000)
+            for first in range(0, whole.num_rows, 1000):
+                batch = whole.slice(first, 1000)
                 values = [None if ids is None else _decoded(table, ids) for ids in batch.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.string())], names=[*batch.schema.names, name])
 
