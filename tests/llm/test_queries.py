@@ -101,7 +101,7 @@ def test_scores(spark, texts):
 
 def test_held_out_scores_beat_the_counts(spark):
     rows = [r for r in QUERIES["op3_lm_scores"](spark, MIDDLE).collect() if r["held_out"]]
-    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+    assert sum(r["score"] for r in rows) > 1.001 * sum(r["base_score"] for r in rows)
 
 
 def test_held_out_languages(spark):

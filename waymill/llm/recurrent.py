@@ -71,6 +71,11 @@ class Network:
         candidate = np.tanh(add[:, 2 * HIDDEN :] + reset * own[:, 2 * HIDDEN :])
         return candidate + update * (state - candidate), state, update, reset, candidate, own[:, 2 * HIDDEN :]
 
+    def frequency_log_p(self, targets: np.ndarray) -> np.ndarray:
+        """Natural log probabilities by the biases alone; those of a new network are the counts' shares."""
+        of = np.searchsorted(self.starts, targets, side="right") - 1
+        return self.class_b[of] + self.word_b[targets]
+
     def log_p(self, states: np.ndarray, targets: np.ndarray, gradients: dict | None = None) -> np.ndarray:
         """Natural log probabilities of the targets; fills in gradients of their negative sum where asked for."""
         logits = states @ self.class_w + self.class_b

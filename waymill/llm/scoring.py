@@ -163,6 +163,22 @@ def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Netwo
     return net
 
 
+def better_network(docs: DataFrame, text: str, vocabulary: Vocabulary, start: Network, trained: Network) -> Network:
+    """The trained network, if it gives these documents (none it was trained on) a higher probability than the counts do."""
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, start, trained))
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts, net = shared.value
+        for batch in batches:
+            texts = [_ids(known, words_of(value))[1] for value in batch.column(0)]
+            plain = sum(float(counts.frequency_log_p(np.append(t, counts.end)).sum()) for t in texts)
+            gain = float(score_texts(net, texts).sum()) - plain
+            yield pa.RecordBatch.from_arrays([pa.array([gain], pa.float64())], names=["gain"])
+
+    gain = docs.select(text).mapInArrow(released(judged), "gain double").agg(F.sum("gain")).first()[0]
+    return trained if gain is not None and gain > 0 else start
+
+
 def score_documents(
     docs: DataFrame,
     learnt_from: Column,
@@ -182,7 +198,8 @@ def score_documents(
     recurrent network predicts the ``outputs`` most frequent of them, through ``classes`` classes, and one
     output for all others, which share its probability by their smoothed counts.  It starts from the counts and
     is trained on ``rounds`` / ``share`` of the documents learnt from, chosen by the hash of their key,
-    so that training grows with the corpus.  The counts of the ``head`` most frequent words go to every task;
+    so that training grows with the corpus, and judged on another 1 / ``share``: where a small corpus has not
+    taught it to do better than the counts, it stays as it started.  The counts of the ``head`` most frequent words go to every task;
     all others meet their counts in a join.
 
     Result: ``key``, ``n_tokens`` (an end is one), ``n_known`` (with a count), ``train_tokens``, ``base_score``, ``score``;
@@ -196,9 +213,10 @@ def score_documents(
     counts = materialize(counts, new_folder(spark, "words"))
     vocabulary, behind = build_vocabulary(counts, head, outputs)
     end = int(vocabulary.ids[vocabulary.ranks[END]])
-    net = Network.of_counts(behind, end, classes, seed)
+    start = Network.of_counts(behind, end, classes, seed)
     part = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(share))
-    net = train_network(learn, "text", vocabulary, net, rounds, part)
+    net = train_network(learn, "text", vocabulary, start, rounds, part)
+    net = better_network(learn.filter(part == rounds).select("text"), "text", vocabulary, start, net)
     shared = spark.sparkContext.broadcast((vocabulary, net))
     names = ["key", "n_tokens", "n_known", "base", "score", "others"]
 
