@@ -26,8 +26,8 @@ _BITS = 1 << 24
 # A chunk has about so many documents and shingles at most, so that one fits in a task.
 _CHUNK_DOCS = 1024
 _CHUNK_SHINGLES = 1 << 20
-# Visits that a task remembers before it starts anew.
-_REMEMBERED = 1_000_000
+# Visits that a task merges at a time.
+_MERGED = 500_000
 
 
 def fine_vector(shingles: np.ndarray) -> np.ndarray:
@@ -260,31 +260,57 @@ def _visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(shingle, row, chunk, weight, component), sorted by shingle → which rows are to visit which chunks (``row``, ``chunk``).
 
     Of two sets of different components that share a shingle, that of the smaller one (by weight, then name) visits the
-    other's chunk, unless both are in it.  Near copies share many shingles; what the task has given already is left out
-    as long as it is remembered.
+    other's chunk, unless both are in it.  Near copies share many shingles and so give the same visits again and
+    again; these are merged in blocks before they leave the task.
     """
-    seen: set[tuple[int, int]] = set()
-    for table in _grouped(batches):
-        rows, chunks, weights, components = (table.column(c).to_numpy() for c in ("row", "chunk", "weight", "component"))
-        if (components == components[0]).all():
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def merged() -> pa.RecordBatch:
+        rows, chunks = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((chunks, rows))
+        rows, chunks = rows[order], chunks[order]
+        new = np.concatenate(([True], (rows[1:] != rows[:-1]) | (chunks[1:] != chunks[:-1])))
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array(rows[new]), pa.array(chunks[new])], names=["row", "chunk"])
+
+    held = [np.empty(0, np.int64)] * 5
+    last = False
+    source = iter(batches)
+    while not last:
+        batch = next(source, None)
+        last = batch is None
+        columns = held if last else [np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns)]
+        shingles = columns[0]
+        starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1]))) if len(shingles) else np.empty(0, np.int64)
+        # The last group may go on in the next batch.
+        end = len(shingles) if last or not len(starts) else int(starts[-1])
+        held = [c[end:] for c in columns]
+        starts = starts[starts < end]
+        if not len(starts):
             continue
-        order = np.lexsort((components, weights))
-        rank = np.empty(len(rows), np.int64)
-        # Equal ranks for sets of one component.
-        steps = np.concatenate(([0], (components[order[1:]] != components[order[:-1]]).astype(np.int64)))
-        rank[order] = np.cumsum(steps)
-        names, of = np.unique(chunks, return_inverse=True)
-        best = np.zeros(len(names), np.int64)
-        np.maximum.at(best, of, rank)
-        for k in range(len(names)):
-            go = rows[(rank < best[k]) & (of != k)].tolist()
-            new = [pair for pair in zip(go, [int(names[k])] * len(go)) if pair not in seen]
-            if new:
-                seen.update(new)
-                columns = [pa.array(c, pa.int64()) for c in zip(*new)]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "chunk"])
-        if len(seen) > _REMEMBERED:
-            seen.clear()
+        components = columns[4][:end]
+        mixed = np.minimum.reduceat(components, starts) != np.maximum.reduceat(components, starts)
+        ends = np.append(starts[1:], end)
+        for low, high in zip(starts[mixed].tolist(), ends[mixed].tolist()):
+            rows, chunks, weights, names = (c[low:high] for c in columns[1:])
+            order = np.lexsort((names, weights))
+            rank = np.empty(len(rows), np.int64)
+            # Equal ranks for sets of one component.
+            rank[order] = np.cumsum(np.concatenate(([0], names[order[1:]] != names[order[:-1]])))
+            places, of = np.unique(chunks, return_inverse=True)
+            best = np.zeros(len(places), np.int64)
+            np.maximum.at(best, of, rank)
+            for k in np.flatnonzero(best > 0).tolist():
+                go = rows[(rank < best[k]) & (of != k)]
+                if len(go):
+                    found.append((go, np.full(len(go), places[k])))
+                    size += len(go)
+            if size > _MERGED:
+                yield merged()
+                size = 0
+    if found:
+        yield merged()
 
 
 def _sets(table: pa.Table) -> list[np.ndarray]:
