@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 
 F4 = np.float32
-HIDDEN = 16
+HIDDEN = 24
 PARTS = ("x", "u", "class_w", "class_b", "word_w", "word_b")
 
 
@@ -139,12 +139,18 @@ class Lanes:
         self.text_starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
 
     def windows(self, steps: int):
-        """Places of the tokens of each window (steps × lanes still going) and which of them are there."""
-        for at in range(0, int(self.loads[0]), steps):
+        """Places of the tokens of each window (steps × lanes still going) and which of them are there.
+
+        Windows grow longer, up to 16 times, as lanes end, so that each holds about as many tokens.
+        """
+        at = 0
+        while at < int(self.loads[0]):
             going = int(np.searchsorted(-self.loads, -at, side="left"))
-            offsets = at + np.arange(min(steps, int(self.loads[0]) - at))[:, None]
+            size = steps * min(16, len(self.loads) // going)
+            offsets = at + np.arange(min(size, int(self.loads[0]) - at))[:, None]
             there = offsets < self.loads[None, :going]
             yield np.where(there, self.first[None, :going] + offsets, self.first[None, :going]), there
+            at += size
 
 
 def score_texts(net: Network, texts: Sequence[np.ndarray], lanes: int = 384, steps: int = 32) -> np.ndarray:
@@ -168,7 +174,7 @@ def score_texts(net: Network, texts: Sequence[np.ndarray], lanes: int = 384, ste
     return result
 
 
-def train(net: Network, texts: Sequence[np.ndarray], lanes: int = 64, steps: int = 16, rate: float = 0.1) -> Network:
+def train(net: Network, texts: Sequence[np.ndarray], lanes: int = 128, steps: int = 16, rate: float = 0.1) -> Network:
     """One pass of stochastic gradient descent with truncated backpropagation; steps adapt to each parameter's past gradients.
 
     Gradients go back to the start of a window; the state is carried across.
