@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -109,8 +109,8 @@ def _ids(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.nda
     return ranks, np.where(ranks < 0, vocabulary.other, vocabulary.ids[ranks]).astype(np.int32)
 
 
-def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Network, rounds: int, part: Column) -> Network:
-    """Train on the documents whose ``part`` is the number of the round, for each round in turn.
+def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Network, rounds: Iterable[int], part: Column) -> Network:
+    """Train on the documents whose ``part`` is the number of the round, for each of the rounds in turn.
 
     Every task trains on its own share from the same start; parameters are averaged, weighted by tokens,
     in slices and in two steps, so that no task holds more than a slice from each of some tasks.
@@ -125,7 +125,7 @@ def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Netwo
         row = (frame["slice"].iloc[0], frame["bundle"].iloc[0], weight, sums.astype(np.float32).tobytes())
         return pd.DataFrame([row], columns=list(frame.columns))
 
-    for turn in range(rounds):
+    for turn in rounds:
         shared = spark.sparkContext.broadcast((vocabulary, net))
 
         def trained(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Netwo
 
 
 def better_network(docs: DataFrame, text: str, vocabulary: Vocabulary, start: Network, trained: Network) -> Network:
-    """The trained network, if it gives these documents (none it was trained on) a higher probability than the counts do."""
+    """The trained network, if it gives these documents (none it has been trained on so far) a higher probability than the counts do."""
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, start, trained))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,8 +188,7 @@ def score_documents(
     head: int = 1 << 18,
     outputs: int = 4096,
     classes: int = 64,
-    rounds: int = 2,
-    share: int = 32,
+    rounds: int = 8,
     seed: int = 0,
 ) -> DataFrame:
     """Log10 probabilities of whole documents by smoothed counts (``base_score``) and by the network (``score``).
@@ -197,9 +196,9 @@ def score_documents(
     Words are counted in all documents for which ``learnt_from`` holds (null counts as false).  A gated
     recurrent network predicts the ``outputs`` most frequent of them, through ``classes`` classes, and one
     output for all others, which share its probability by their smoothed counts.  It starts from the counts and
-    is trained on ``rounds`` / ``share`` of the documents learnt from, chosen by the hash of their key,
-    so that training grows with the corpus, and judged on another 1 / ``share``: where a small corpus has not
-    taught it to do better than the counts, it stays as it started.  The counts of the ``head`` most frequent words go to every task;
+    is trained on all documents learnt from, dealt to ``rounds`` parts by the hash of their key; each round starts
+    from the average of the round before.  Before it learns the last part it is judged on it: where a small corpus
+    has not taught it to do better than the counts, it stays as it started.  The counts of the ``head`` most frequent words go to every task;
     all others meet their counts in a join.
 
     Result: ``key``, ``n_tokens`` (an end is one), ``n_known`` (with a count), ``train_tokens``, ``base_score``, ``score``;
@@ -214,9 +213,12 @@ def score_documents(
     vocabulary, behind = build_vocabulary(counts, head, outputs)
     end = int(vocabulary.ids[vocabulary.ranks[END]])
     start = Network.of_counts(behind, end, classes, seed)
-    part = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(share))
-    net = train_network(learn, "text", vocabulary, start, rounds, part)
-    net = better_network(learn.filter(part == rounds).select("text"), "text", vocabulary, start, net)
+    part = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(rounds))
+    last = rounds - 1
+    net = train_network(learn, "text", vocabulary, start, range(last), part)
+    net = better_network(learn.filter(part == last).select("text"), "text", vocabulary, start, net)
+    if net is not start:
+        net = train_network(learn, "text", vocabulary, net, [last], part)
     shared = spark.sparkContext.broadcast((vocabulary, net))
     names = ["key", "n_tokens", "n_known", "base", "score", "others"]
 
