@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import rows, write_text
+from tables import rows, write_text
 from test_fares import HOUR, golden, put
 from test_operations import ARRIVALS, DATE, DEPARTURES, write_day
 from test_weather import FORECAST, reading

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import rows, write_text
+from tables import rows, write_text
 from pyspark.sql import functions as F
 
 from waymill.functions import charge_total, joined, path_stamp, stamp_in_path, translate_codes

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import rows
+from tables import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pytest
-from conftest import rows
+from tables import rows
 from pyspark.sql import functions as F
 
 from waymill import storage

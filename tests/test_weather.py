@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from conftest import rows, write_text
+from tables import rows, write_text
 
 from waymill.operators import fill_mean, fill_mode, fill_zero, most_frequent, typed_readings
 from waymill.plans import run_forecast, run_observed
