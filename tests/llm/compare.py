@@ -5,7 +5,7 @@ from __future__ import annotations
 import duckdb
 
 
-def expected(sql: str, folder: str, tables=("documents", "pages", "labels")):
+def expected(sql: str, folder: str, tables=("documents", "pages", "labels", "conversations")):
     connection = duckdb.connect()
     for table in tables:
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")

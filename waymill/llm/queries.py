@@ -15,6 +15,7 @@ from .archives import read_archives, write_archives
 from .columns import fold, word_count
 from .fingerprint import fingerprint_edits
 from .hosts import host_rules
+from .interactions import audit_filters, judge_documents
 from .jaccard import near_duplicates
 from .language import identify_languages, learn_languages
 from .mixing import mix_sources
@@ -211,3 +212,38 @@ def op10_language(t: Tables) -> DataFrame:
     filters = learn_languages(t.documents.filter(~held_out).select("lang", "text"))
     found = identify_languages(t.documents.select("doc_id", "text"), filters)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query(
+    r"""
+    WITH least AS (SELECT coalesce(text, '') AS t, min(doc_id) AS first FROM documents GROUP BY 1),
+    marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+    w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                 regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    d AS (SELECT part, CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END
+                 || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+                 || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C' ELSE '' END
+                 || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                 || CASE WHEN w.doc_id > first THEN 'E' ELSE '' END AS fails, good, toxic
+          FROM w JOIN least USING (t) LEFT JOIN marks ON marks.doc_id = w.doc_id),
+    m AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM d GROUP BY 1, 2),
+    f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+    o AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM f a, f b, f c, f d, f e
+          WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+    r AS (SELECT m.*, filter_order, list_min(list_transform(['A', 'B', 'C', 'D', 'E'],
+                 lambda x: CASE WHEN contains(fails, x) THEN instr(filter_order, x) ELSE 9 END)) AS gone FROM m, o),
+    c AS (SELECT part, filter_order, step, substr(filter_order, step, 1) AS l,
+                 sum(CASE WHEN gone > step THEN n ELSE 0 END)::BIGINT AS kept,
+                 sum(CASE WHEN gone = step THEN n ELSE 0 END)::BIGINT AS removed,
+                 sum(CASE WHEN gone < step AND contains(fails, substr(filter_order, step, 1)) THEN n ELSE 0 END)::BIGINT AS redundant,
+                 sum(CASE WHEN fails = substr(filter_order, step, 1) THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                 sum(CASE WHEN gone = step THEN good ELSE 0 END)::BIGINT AS good_lost,
+                 sum(CASE WHEN gone = step THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+          FROM r, (SELECT unnest(range(1, 6))::INTEGER AS step) GROUP BY 1, 2, 3)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley FROM c
+    """
+)
+def op11_filter_audit(t: Tables) -> DataFrame:
+    """Five filters over all documents, in all orders, by source."""
+    return audit_filters(judge_documents(t.documents, t.labels), "ABCDE")
