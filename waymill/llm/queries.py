@@ -13,6 +13,7 @@ from ..registry.tables import Tables
 from ..storage import new_folder
 from .archives import read_archives, write_archives
 from .columns import fold, word_count
+from .conversations import damaged, repaired
 from .fingerprint import fingerprint_edits
 from .hosts import host_rules
 from .interactions import audit_filters, judge_documents
@@ -247,3 +248,54 @@ def op10_language(t: Tables) -> DataFrame:
 def op11_filter_audit(t: Tables) -> DataFrame:
     """Five filters over all documents, in all orders, by source."""
     return audit_filters(judge_documents(t.documents, t.labels), "ABCDE")
+
+
+@query(
+    r"""
+    WITH RECURSIVE
+    b AS (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+    x AS (SELECT DISTINCT k, flatten(list_transform(range(1, length(k) + 1),
+                 lambda i: list_concat([ascii(substr(k, i, 1))::BIGINT], list_transform(range(8), lambda j: -1::BIGINT)))) AS s FROM b),
+    y AS (SELECT k, xor(list_reduce(list_concat([4294967295::BIGINT], s), lambda c, v: CASE WHEN v >= 0 THEN xor(c, v)
+                 WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295) % 20 AS h FROM x),
+    d AS (SELECT conv_id AS id, coalesce(conv_id::VARCHAR, 'none') AS c, turn, CASE WHEN h = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+                 CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS t
+          FROM b JOIN y USING (k), range(CASE WHEN h = 3 THEN 2 ELSE 1 END) WHERE h <> 0),
+    n AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(t)) AS i, substr(role, 1, 1) AS r FROM d),
+    f AS (SELECT *, NOT regexp_matches(t, '[^\x20\x09-\x0D]') AS blank,
+                 row_number() OVER (PARTITION BY c, role, t ORDER BY i) > 1 AS again,
+                 lag(r) OVER (PARTITION BY c ORDER BY i) || r AS pair FROM n),
+    g AS (SELECT *, blank OR again AS gone, NOT blank AND NOT again AND NOT regexp_matches(t, '[.!?][\x20\x09-\x0D]*$') AS cut FROM f),
+    v(p, q, k) AS (VALUES (0, 0, 0), (0, 2, 1), (0, 3, 2), (1, 1, 0), (1, 2, 1), (1, 3, 2), (2, 2, 0), (2, 3, 1), (3, 3, 0), (3, 2, 1)),
+    o(r, p, q, cost, a) AS (VALUES ('s', 0, 1, 0, 'K'), ('u', 0, 2, 0, 'K'), ('u', 1, 2, 0, 'K'), ('u', 3, 2, 0, 'K'), ('a', 2, 3, 0, 'K'),
+                 ('', 0, 2, 2, 'R'), ('', 1, 2, 2, 'R'), ('', 3, 2, 2, 'R'), ('', 2, 3, 2, 'R'),
+                 ('-', 0, 0, 3, 'D'), ('-', 1, 1, 3, 'D'), ('-', 2, 2, 3, 'D'), ('-', 3, 3, 3, 'D')),
+    w AS (SELECT o.r, v.p, o.q, 2 * v.k + o.cost AS cost, repeat('I', v.k) || o.a AS a FROM v JOIN o ON v.q = o.p),
+    e AS (SELECT g.c, g.i, w.p, w.q, min({'cost': w.cost + CASE WHEN cut AND w.r <> '-' THEN 1 ELSE 0 END, 'a': w.a}) AS best
+          FROM g JOIN w ON w.r = '-' OR NOT gone AND w.r IN ('', g.r) GROUP BY ALL),
+    s AS (SELECT DISTINCT c, 0::BIGINT AS i, 0 AS p, {'cost': 0, 'a': ''} AS best FROM g
+          UNION ALL
+          SELECT s.c, s.i + 1, e.q, min({'cost': s.best.cost + e.best.cost, 'a': s.best.a || e.best.a})
+          FROM s JOIN e ON e.c = s.c AND e.i = s.i + 1 AND e.p = s.p GROUP BY 1, 2, 3),
+    z AS (SELECT s.c, min({'cost': best.cost + 2 * v.k, 'a': best.a || repeat('I', v.k)}) AS best
+          FROM s JOIN v ON v.p = s.p AND v.q IN (0, 3) WHERE s.i = (SELECT max(g.i) FROM g WHERE g.c = s.c) GROUP BY 1),
+    l AS (SELECT c, j, substr(best.a, j, 1) AS a FROM z, unnest(range(1, length(best.a) + 1)) u(j)),
+    m AS (SELECT *, sum((a <> 'I')::INT) OVER (PARTITION BY c ORDER BY j) AS i FROM l),
+    q AS (SELECT m.c, m.a, m.j, g.r, g.role, g.t, row_number() OVER (PARTITION BY m.c ORDER BY j) AS place
+          FROM m LEFT JOIN g ON g.c = m.c AND g.i = m.i AND m.a <> 'I' WHERE m.a <> 'D'),
+    first AS (SELECT c, bool_or(place = 1 AND a = 'K' AND r = 's')::INT AS head FROM q GROUP BY 1),
+    h AS (SELECT c, sha256(string_agg(CASE WHEN a = 'K' THEN role WHEN (place - head) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                 || ':' || coalesce(t, ''), chr(10) ORDER BY j)) AS hash FROM q JOIN first USING (c) GROUP BY 1),
+    k AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(blank::INT) AS blank,
+                 sum((again AND NOT blank)::INT) AS duplicate, sum(cut::INT) AS truncated,
+                 coalesce(sum((pair NOT IN ('su', 'ua', 'au'))::INT), 0) AS illegal FROM g GROUP BY 1),
+    every AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+           coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+           coalesce(best.a, '') AS audit, coalesce(hash, sha256('')) AS repaired_sha256
+    FROM every LEFT JOIN k ON k.c = coalesce(conv_id::VARCHAR, 'none') LEFT JOIN z ON z.c = k.c LEFT JOIN h ON h.c = k.c
+    """
+)
+def op13_conversation_repair(t: Tables) -> DataFrame:
+    """All conversations, damaged by their rows' crc32, and repaired."""
+    return repaired(t.conversations, damaged(t.conversations))
