@@ -24,6 +24,7 @@ from .pieces import encode_pieces
 from .repeats import repeated_strings
 from .scoring import score_documents
 from .toxicity import fit_toxicity, score_toxicity
+from .windows import repeated_windows
 
 QUERIES = {}
 ORACLES = {}
@@ -250,6 +251,26 @@ def op11_filter_audit(t: Tables) -> DataFrame:
     return audit_filters(judge_documents(t.documents, t.labels), "ABCDE")
 
 
+@query(
+    r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    g AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM d, unnest(range(1, len(w) - 18)) x(i)),
+    r AS (SELECT doc_id, i FROM g QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+    c AS (SELECT DISTINCT doc_id, i + k AS i FROM r, range(20) y(k)),
+    k AS (SELECT d.doc_id, x.i, w[x.i] AS word, c.i IS NOT NULL AS gone
+          FROM d CROSS JOIN unnest(range(1, len(w) + 1)) x(i) LEFT JOIN c ON c.doc_id = d.doc_id AND c.i = x.i),
+    a AS (SELECT doc_id, sum(gone::INT) AS n, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM k GROUP BY 1)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN a USING (doc_id)
+    """
+)
+def op12_substring_dedup(t: Tables) -> DataFrame:
+    """All documents without the words of windows of 20 that occur earlier."""
+    found = repeated_windows(t.documents.select("doc_id", "text"), window=20)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
+
+
 @query(
     r"""
     WITH RECURSIVE

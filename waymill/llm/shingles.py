@@ -22,11 +22,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 @np.errstate(over="ignore")
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (A-Z in lower case) of bytes, and where each starts."""
+def word_hashes(data: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (A-Z in lower case, unless told otherwise) of bytes, and where each starts."""
     starts, ends = word_spans(data)
     up, down = _powers(len(data) + 1)
-    sums = np.concatenate((np.zeros(1, U64), np.cumsum(_BYTES[LOWER[data]] * up[:-1])))
+    sums = np.concatenate((np.zeros(1, U64), np.cumsum(_BYTES[LOWER[data] if lower else data] * up[:-1])))
     return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64)), starts
 
 
