@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 import datetime
+import shutil
 
 import pytest
 from tables import rows, write_text
 
 from waymill.operators import fill_mean, fill_mode, fill_zero, most_frequent, typed_readings
-from waymill.plans import run_forecast, run_observed
+from waymill.plans import run_forecast, run_observed, weather
 from waymill.schemas import FORECAST_MODE_FILLED, FORECAST_ZERO_FILLED, MEAN_FILLED, OBSERVED_ZERO_FILLED
-from waymill.sources import FORECAST_FILES, expected_inputs, inline_table, list_inputs, missing_partitions, read_dated_csv
+from waymill.sinks import StagedRun, staged
+from waymill.sources import (
+    FORECAST_FILES,
+    day_folders,
+    expected_inputs,
+    inline_table,
+    list_inputs,
+    missing_partitions,
+    read_dated_csv,
+    source_files,
+)
 
 FORECAST = ["timestamp", *MEAN_FILLED, *FORECAST_ZERO_FILLED, *FORECAST_MODE_FILLED]
 OBSERVED = ["timestamp", *MEAN_FILLED, *OBSERVED_ZERO_FILLED, "note"]
@@ -89,12 +100,16 @@ def test_days_outside_the_range_are_not_opened(spark, raw, tmp_path):
     assert forecast(spark, raw, tmp_path, end="2024-12-29")["written"] == 5
 
 
-def test_header_drift_fails(spark, raw, tmp_path):
-    swapped = [FORECAST[0], FORECAST[2], FORECAST[1], *FORECAST[3:]]
+def test_each_file_is_read_by_its_own_header(spark, raw, tmp_path):
+    swapped = [FORECAST[2], FORECAST[1], FORECAST[0], *FORECAST[3:-1]]
     put(raw, "2024/12/26/ICN_future_3.csv", swapped, reading("2024-12-26 00:00:00", 7.0))
-    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
-        forecast(spark, raw, tmp_path)
-    assert not (tmp_path / "target").exists()
+    put(raw, "2024/12/26/NRT_future_3.csv", [*FORECAST, "further"], reading("2024-12-26 00:00:00", 8.0, visibility=5, further="x"))
+    assert forecast(spark, raw, tmp_path)["written"] == 7
+    target = spark.read.parquet(str(tmp_path / "target"))
+    assert rows(target.filter("timestamp >= '2024-12-26'"), "airport_code", "temperature_2m", "visibility", "further") == [
+        ("ICN", 7.0, None, None),  # three nulls and three times 10000: nothing is filled
+        ("NRT", 8.0, 5.0, "x"),
+    ]
 
 
 def test_absent_column_fails_with_its_name(spark, tmp_path):
@@ -187,3 +202,111 @@ def test_mode_counts_nulls_unless_ignored(spark):
     tie = spark.createDataFrame([("b",), ("a",), (None,)], "x STRING")
     assert rows(most_frequent(tie, "x", ignore_nulls=True)) == [("a", 1)]
     assert fill_mode(df.limit(0), ["x"]).count() == 0
+
+
+def opened(spark, tmp_path):
+    """Names of the files that the last run has recorded."""
+    files = spark.read.parquet(str(tmp_path / "target-files"))
+    return sorted(r["source_file"].rsplit("/", 1)[1] for r in files.collect())
+
+
+def test_files_without_newer_rows_stay_closed(spark, raw, tmp_path, monkeypatch):
+    seen = []
+    read = weather.files_by_header
+
+    def watched(spark, files):
+        seen.append(sorted(r["path"].rsplit("/", 1)[1] for r in files.select("path").collect()))
+        return read(spark, files)
+
+    monkeypatch.setattr(weather, "files_by_header", watched)
+    assert forecast(spark, raw, tmp_path)["written"] == 5
+    assert opened(spark, tmp_path) == ["FUK_future_1.csv", "ICN_future_1.csv", "NRT_future_1.csv"]
+    assert forecast(spark, raw, tmp_path)["written"] == 0
+    # A late file for an old day, one that has changed, and one that gives nothing.
+    put(raw, "2024/12/24/CTS_future_7.csv", FORECAST, reading("2024-12-24 07:00:00", 4.0), reading("later", 1.0))
+    put(raw, "2024/12/24/NRT_future_1.csv", FORECAST, reading("2024-12-24 01:00:00", 9.0), reading("2024-12-24 09:00:00", 9.0))
+    put(raw, "2024/12/25/KIX_future_1.csv", FORECAST)
+    assert forecast(spark, raw, tmp_path) == {"written": 2, "unreadable_times": 1}
+    assert forecast(spark, raw, tmp_path) == {"written": 0, "unreadable_times": 0}
+    first = ["FUK_future_1.csv", "ICN_future_1.csv", "NRT_future_1.csv"]
+    assert seen == [first, [], ["CTS_future_7.csv", "KIX_future_1.csv", "NRT_future_1.csv"], []]
+    # Without its rows a target is filled from all files again; what is set aside is not repeated.
+    shutil.rmtree(tmp_path / "target")
+    assert forecast(spark, raw, tmp_path)["written"] == 6
+    assert rows(spark.read.parquet(str(tmp_path / "target-undated")), "airport_code", "timestamp") == [("CTS", "later")]
+
+
+def test_marks_per_airport_open_only_their_files(spark, raw, tmp_path):
+    forecast(spark, raw, tmp_path)
+    stored_files = spark.read.parquet(str(tmp_path / "target-files"))
+    listed = source_files(spark, str(raw), FORECAST_FILES, ["ICN", "NRT", "FUK"], "2024-12-24", "2024-12-24")
+    marks = spark.createDataFrame([("ICN", at("2024-12-24T00:30:00")), ("NRT", at("2024-12-24T01:00:00"))], "airport_code string, latest timestamp_ntz")
+    found = rows(weather.unread_files(listed, stored_files, None, marks), "code")
+    assert found == [("FUK",), ("ICN",)]
+
+
+@pytest.mark.parametrize("broken", ["-undated", "-files"])
+def test_a_run_that_breaks_off_leaves_nothing(spark, raw, tmp_path, monkeypatch, broken):
+    put(raw, "2024/12/25/ICN_future_2.csv", FORECAST, reading("no time", 7.0))
+    add = StagedRun.add
+
+    def failing(self, df, table="", compact=False):
+        if table == broken:
+            raise OSError("disk is gone")
+        add(self, df, table, compact)
+
+    monkeypatch.setattr(StagedRun, "add", failing)
+    with pytest.raises(OSError):
+        forecast(spark, raw, tmp_path)
+    assert not (tmp_path / "target").exists() and (tmp_path / "target-staged").exists()
+    monkeypatch.setattr(StagedRun, "add", add)
+    assert forecast(spark, raw, tmp_path) == {"written": 5, "unreadable_times": 1}
+    assert len(stored(spark, tmp_path, "timestamp")) == 5 and spark.read.parquet(str(tmp_path / "target-undated")).count() == 1
+    assert not (tmp_path / "target-staged").exists()
+
+
+def test_a_published_run_is_carried_through(spark, raw, tmp_path, monkeypatch):
+    move, moved = staged._move, []
+
+    def failing(spark, files, source, target):
+        if moved:
+            raise OSError("driver is gone")
+        moved.append(target)
+        move(spark, files, source, target)
+
+    monkeypatch.setattr(staged, "_move", failing)
+    with pytest.raises(OSError):
+        forecast(spark, raw, tmp_path)
+    monkeypatch.setattr(staged, "_move", move)
+    # The next run finds everything of the one before, and so nothing new.
+    assert forecast(spark, raw, tmp_path) == {"written": 0, "unreadable_times": 0}
+    assert len(stored(spark, tmp_path, "timestamp")) == 5
+    assert opened(spark, tmp_path) == ["FUK_future_1.csv", "ICN_future_1.csv", "NRT_future_1.csv"]
+    assert not (tmp_path / "target-staged").exists()
+
+
+def test_only_folders_of_the_range_are_listed(spark, tmp_path):
+    for year in range(2000, 2024):
+        put(tmp_path / "raw", f"{year}/12/24/ICN_future_1.csv", FORECAST)
+    for day in range(1, 32):
+        put(tmp_path / "raw", f"2024/12/{day:02}/ICN_future_1.csv", FORECAST)
+    folders = day_folders(spark, str(tmp_path / "raw"), FORECAST_FILES, "2024-12-20", "2025-02-10")
+    assert len(folders) == 12
+    files = source_files(spark, str(tmp_path / "raw"), FORECAST_FILES, ["ICN"], "2024-12-20", "2025-02-10")
+    location = files._jdf.queryExecution().analyzed().collectLeaves().head().relation().location()
+    assert location.rootPaths().size() == 12 and files.count() == 12
+    assert day_folders(spark, str(tmp_path / "none"), FORECAST_FILES, "2024-12-20", "2026-02-10") == []
+
+
+def test_headers_apart(spark, tmp_path):
+    root = tmp_path / "r [1] {a}"
+    put(root, "2024/12/24/ICN_future_1.csv", ["a", "b"], {"a": 1, "b": 2})
+    put(root, "2024/12/24/NRT_future_1.csv", ["b", "a"], {"a": 3, "b": 4})
+    write_text(root / "2024/12/24/FUK_future_1.csv", "", '"a","c d"', "5,6")
+    write_text(root / "2024/12/24/KIX_future_1.csv")
+    raw = str(tmp_path) + r"/r \[1\] \{a\}"
+    scan = read_dated_csv(spark, raw, FORECAST_FILES, ["ICN", "NRT", "FUK", "KIX"], "2024-12-24", "2024-12-24")
+    assert rows(scan, "a", "b", "c d", "airport_code") == [("1", "2", None, "ICN"), ("3", "4", None, "NRT"), ("5", None, "6", "FUK")]
+    put(root, "2024/12/25/ICN_future_1.csv", ["a", "A"], {"a": 1})
+    with pytest.raises(ValueError, match="twice"):
+        read_dated_csv(spark, raw, FORECAST_FILES, ["ICN"], "2024-12-25", "2024-12-25")

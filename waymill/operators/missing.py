@@ -7,7 +7,7 @@ literal, so that no join is needed and nothing passes through the caller.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,13 +63,14 @@ def column_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*(F.avg(name).alias(name) for name in columns))
 
 
-def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fill_mean(df: DataFrame, columns: Sequence[str], means: Mapping[str, Column] | None = None) -> DataFrame:
     """Nulls replaced by the column's mean over this batch (a mean of 0.0 counts too).
 
-    A column without any value stays null.
+    A column without any value stays null.  ``means`` spares the pass over the batch where its means are known, as from
+    the write that has stored it.
     """
     require_columns(df, columns)
-    means = {name: df.agg(F.avg(name)).scalar() for name in columns}
+    means = {name: df.agg(F.avg(name)).scalar() if means is None else means[name] for name in columns}
     return df.withColumns({name: F.coalesce(F.col(name), mean) for name, mean in means.items()})
 
 

@@ -44,6 +44,6 @@ def keep_targets(
     return joined.select(*df.columns)
 
 
-def union_all(branches: Sequence[DataFrame]) -> DataFrame:
-    """All rows of all branches, columns matched by name."""
-    return reduce(DataFrame.unionByName, branches)
+def union_all(branches: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
+    """All rows of all branches, columns matched by name; ``allow_missing`` gives nulls where a branch lacks a column."""
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=allow_missing), branches)

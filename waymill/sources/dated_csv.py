@@ -2,29 +2,40 @@
 
 from __future__ import annotations
 
-import posixpath
-from collections.abc import Sequence
+import csv
+import datetime
+import re
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote, urlsplit
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BACKFILL_GLOB
+from ..storage import file_system
 from .absence import if_present
 
+# The column that tells a row's file, as Spark's scans name it.
+FILE = "source_file"
+# Days whose folders are looked up by one pattern.
+_DAYS = 366
+_INVENTORY = f"path STRING, {FILE} STRING, size BIGINT, modified BIGINT, day STRING, code STRING"
+
 
 @dataclass(frozen=True)
 class DatedCsv:
     """How day and code are told from a file's path.
 
     ``day`` must match year, month and day as three groups, ``code`` the code as one.
-    In ``glob``, ``{codes}`` stands for the requested codes.
+    In ``glob``, ``{codes}`` stands for the requested codes.  ``folder`` names a day's folder below the root, in the letters of
+    ``strftime``.
     """
 
     glob: str
     day: str = r"/(\d{4})/(\d{2})/(\d{2})/[^/]*$"
     code: str = r"/([^/_]+)_[^/]*$"
+    folder: str = "%Y/%m/%d"
 
     def name_filter(self, codes: Sequence[str]) -> str:
         return self.glob.replace("{codes}", "{" + ",".join(codes) + "}")
@@ -39,30 +50,90 @@ class DatedCsv:
     def wanted(self, path: Column | str, codes: Sequence[str], start: str, end: str) -> Column:
         return self.day_of(path).between(start, end) & self.code_of(path).isin(*codes)
 
+    def folders(self, start: str, end: str) -> Iterator[list[str]]:
+        """The names of the days' folders (``yyyy-MM-dd``, both ends included), some at a time."""
+        first, last = datetime.date.fromisoformat(start), datetime.date.fromisoformat(end)
+        days = [first + datetime.timedelta(i) for i in range((last - first).days + 1)]
+        for i in range(0, len(days), _DAYS):
+            yield list(dict.fromkeys(day.strftime(self.folder) for day in days[i : i + _DAYS]))
+
 
 FORECAST_FILES = DatedCsv("{codes}_future_*.csv")
 OBSERVED_FILES = DatedCsv("{codes}_past_*.csv")
 
 
-def _csv(spark: SparkSession, folder: str, name_filter: str, columns: Sequence[str] | None) -> DataFrame | None:
-    """All matching files of a folder tree as text columns, in one scan.
+def day_folders(spark: SparkSession, folder: str, layout: DatedCsv, start: str, end: str) -> list[str]:
+    """The days' folders that exist: their names come from the range, and nothing else below ``folder`` is looked at."""
+    found = []
+    for names in layout.folders(start, end):
+        files, pattern = file_system(spark, f"{folder.rstrip('/')}/{{{','.join(names)}}}")
+        found += [status.getPath().toString() for status in files.globStatus(pattern) or [] if status.isDirectory()]
+    return found
+
+
+def source_files(
+    spark: SparkSession, folder: str, layout: DatedCsv, codes: Sequence[str], start: str, end: str
+) -> DataFrame:
+    """Path, size, time of change (microseconds), day and code of every file of the range, without opening any.
 
-    Without ``columns`` the names come from the header of one file.  Either way the
-    header of every file is checked against them: columns are matched by position, and a file
-    with another order must fail rather than swap values.
+    The days' folders are listed by tasks where there are many of them.  The table is lazy, but the listing is
+    made here, once; what reads the table several times lists nothing again.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", name_filter)
+    folders = day_folders(spark, folder, layout, start, end)
+    if not folders:
+        return spark.createDataFrame([], _INVENTORY)
+    # This source reads a file's content only when that column is asked for.
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.option("pathGlobFilter", layout.name_filter(codes)).load([_literal(name) for name in folders])
+    return files.filter(layout.wanted("path", codes, start, end)).select(
+        "path",
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("length").alias("size"),
+        F.unix_micros("modificationTime").alias("modified"),
+        layout.day_of("path").alias("day"),
+        layout.code_of("path").alias("code"),
     )
-    if columns is None:
-        sample = if_present(lambda: reader.csv(folder))
-        if sample is None or not sample.columns:
-            return None
-        columns = sample.columns
-    return if_present(lambda: reader.schema(", ".join(f"`{name}` STRING" for name in columns)).csv(folder))
+
+
+def _literal(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def files_by_header(spark: SparkSession, files: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """The paths of files (as of ``source_files``) by the column names in their first line.
+
+    Tasks look at the lines and keep the first of each file; only the different headers, with their files' paths, come to the
+    driver, which needs these for the scans.  A file without any line is left out.
+    """
+    paths = [_literal(row["path"]) for row in files.select("path").collect()]
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"), "value"
+    )
+    lines = lines.withColumn("line", F.monotonically_increasing_id()).filter("block = 0 AND length(trim(value)) > 0")
+    firsts = lines.groupBy(FILE).agg(F.min_by("value", "line").alias("header"))
+    groups = firsts.join(files, FILE).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in groups.orderBy("header").collect():
+        names = tuple(name or f"_c{i}" for i, name in enumerate(next(csv.reader([row["header"]]))))
+        if len({name.lower() for name in names}) < len(names):
+            raise ValueError(f"{row['paths'][0]}: a column name stands twice in the header")
+        found.setdefault(names, []).extend(row["paths"])
+    return found
+
+
+def read_by_header(spark: SparkSession, groups: Mapping[tuple[str, ...], Sequence[str]]) -> DataFrame | None:
+    """All files as text columns and their file's name: one scan for each header, united by name, with nulls for absent columns."""
+    scans = []
+    for names, paths in groups.items():
+        schema = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in names)
+        # The header of each file is checked once more when it is read.
+        reader = spark.read.option("header", True).option("enforceSchema", False).schema(schema)
+        columns = [F.col(f"`{name.replace('`', '``')}`") for name in names]
+        scans.append(reader.csv([_literal(p) for p in paths]).select(*columns, F.col("_metadata.file_path").alias(FILE)))
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), scans) if scans else None
 
 
 def read_dated_csv(
@@ -78,70 +149,55 @@ def read_dated_csv(
 ) -> DataFrame | None:
     """Files of the given codes and days (``yyyy-MM-dd``, both ends included), tagged with their code.
 
-    One scan whatever the number of days and codes.  The filter uses only the path, so files
-    outside the range are dropped from the listing and not opened; a missing file is no error.
-    None if there is no file at all.
+    Without ``columns`` each file is read by its own header, and columns that a file lacks are null; there is a scan for each
+    header, whatever the number of days and codes.  With ``columns`` there is one scan, and a file whose header
+    differs from them fails.  Files outside the range are not opened, nor are their folders listed; a missing file
+    is no error.  None if there is no file at all.
     """
+    files = source_files(spark, folder, layout, codes, start, end)
     if columns is None:
-        # The names come from a file of the range: files outside it may have another header.
-        first = _list_files(spark, folder, layout, codes, start, end).select("path").first()
-        if first is None:
-            return None
-        columns = spark.read.option("header", True).csv(first["path"]).columns
-    scan = _csv(spark, folder, layout.name_filter(codes), columns)
+        scan = read_by_header(spark, files_by_header(spark, files))
+    else:
+        paths = [row["path"] for row in files.select("path").collect()]
+        scan = read_by_header(spark, {tuple(columns): paths} if paths else {})
     if scan is None:
         return None
-    path = "_metadata.file_path"
-    tags = [layout.code_of(path).alias(code_name)]
+    tags = [layout.code_of(FILE).alias(code_name)]
     if day_name:
-        tags.append(layout.day_of(path).cast("date").alias(day_name))
-    names = [F.col(f"`{name}`") for name in scan.columns]
-    return scan.filter(layout.wanted(path, codes, start, end)).select(*names, *tags)
+        tags.append(layout.day_of(FILE).cast("date").alias(day_name))
+    return scan.select(*(F.col(f"`{name}`") for name in scan.columns if name != FILE), *tags)
 
 
 def read_backfill(
-    spark: SparkSession,
-    folder: str,
-    codes: Sequence[str],
-    glob: str = BACKFILL_GLOB,
-    columns: Sequence[str] | None = None,
-    code_name: str = "airport_code",
+    spark: SparkSession, folder: str, codes: Sequence[str], glob: str = BACKFILL_GLOB, code_name: str = "airport_code"
 ) -> DataFrame:
-    """The one-time history, one file per code; every code must have its file."""
+    """The one-time history, one file per code, each by its own header; every code must have its file.
+
+    Rows are tagged with their code and their file.
+    """
     layout = DatedCsv(glob)
-    scan = _csv(spark, folder, layout.name_filter(codes), columns)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = if_present(lambda: reader.option("pathGlobFilter", layout.name_filter(codes)).load(folder))
     found = set()
-    if scan is not None:
+    if files is not None:
+        files = files.select("path", F.col("_metadata.file_path").alias(FILE), layout.code_of("path").alias("code"))
         # One file per code, so the list of names is as short as the list of codes.
-        found = {posixpath.basename(unquote(urlsplit(file).path)).split("_")[0] for file in scan.inputFiles()}
+        found = {row["code"] for row in files.select("code").dropDuplicates().collect()}
     absent = [code for code in codes if code not in found]
     if absent:
         raise FileNotFoundError(f"no backfill file below {folder} for {', '.join(absent)}")
-    names = [F.col(f"`{name}`") for name in scan.columns]
-    return scan.select(*names, layout.code_of("_metadata.file_path").alias(code_name))
-
-
-def _list_files(
-    spark: SparkSession, folder: str, layout: DatedCsv, codes: Sequence[str], start: str, end: str
-) -> DataFrame:
-    # This source reads a file's content only when that column is asked for.
-    reader = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", layout.name_filter(codes))
-    )
-    files = if_present(lambda: reader.load(folder))
-    if files is None:
-        return spark.createDataFrame([], "path STRING")
-    return files.select("path").filter(layout.wanted("path", codes, start, end))
+    scan = read_by_header(spark, files_by_header(spark, files))
+    if scan is None:
+        raise ValueError(f"the backfill files below {folder} are empty")
+    return scan.withColumn(code_name, layout.code_of(FILE))
 
 
 def list_inputs(
     spark: SparkSession, folder: str, layout: DatedCsv, codes: Sequence[str], start: str, end: str
 ) -> DataFrame:
     """Day and code of every input file present, from the listing alone."""
-    files = _list_files(spark, folder, layout, codes, start, end)
-    return files.select(layout.day_of("path").cast("date").alias("day"), layout.code_of("path").alias("code"))
+    files = source_files(spark, folder, layout, codes, start, end)
+    return files.select(F.col("day").cast("date").alias("day"), "code")
 
 
 def expected_inputs(codes: DataFrame, start: str, end: str, code: str = "code", day: str = "day") -> DataFrame:

@@ -29,7 +29,7 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     local = spark.sparkContext.master.startswith("local")
     if configured:
-        if not local and ":" not in configured and _file_system(spark, configured)[0].getScheme() == "file":
+        if not local and ":" not in configured and file_system(spark, configured)[0].getScheme() == "file":
             # Without a scheme, and with no other file system set up, it is each machine's own folder.
             raise ValueError("spark.checkpoint.dir names a folder of each machine; a mounted one needs its scheme")
         return configured.rstrip("/")
@@ -40,7 +40,7 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """Hadoop's file system for a path, and the path as it knows it."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
@@ -51,7 +51,7 @@ def _session_folder(spark: SparkSession) -> str:
     application = spark.sparkContext.applicationId
     if application not in _session_folders:
         path = f"{shared_root(spark)}/waymill/{application}-{uuid.uuid4().hex}"
-        files, hadoop_path = _file_system(spark, path)
+        files, hadoop_path = file_system(spark, path)
         files.mkdirs(hadoop_path)
         files.deleteOnExit(hadoop_path)
         _session_folders[application] = path
@@ -70,7 +70,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        files, hadoop_path = _file_system(spark, path)
+        files, hadoop_path = file_system(spark, path)
         files.delete(hadoop_path, True)
 
 
