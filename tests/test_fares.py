@@ -87,6 +87,25 @@ def test_golden_case(spark, tmp_path):
     assert first == ("u2", "대한항공") and not second[1]
 
 
+def test_broken_documents_are_counted_and_set_aside(spark, tmp_path):
+    put(tmp_path / HOUR, "a.json", golden())
+    put(tmp_path / HOUR, "broken.json", '{"data": {"internationalList": ')
+    put(tmp_path / HOUR, "other.json", '{"data": "no search"}')
+    assert run(spark, tmp_path).count() == 2
+
+    def intake():
+        return spark.read.parquet(str(tmp_path / "out/intake"))
+
+    assert rows(intake().filter("broken is null"), "n_documents", "n_broken") == [(3, 2)]
+    texts = rows(intake().filter("broken is not null"), "source_path", "broken")
+    assert [path.rsplit("/", 1)[1] for path, _ in texts] == ["broken.json", "other.json"] and texts[0][1].startswith('{"data": {')
+    # A later run without them replaces the report.
+    put(tmp_path / HOUR, "broken.json", golden())
+    (tmp_path / HOUR / "other.json").unlink()
+    run(spark, tmp_path)
+    assert rows(intake(), "n_documents", "n_broken", "broken") == [(2, 0, None)]
+
+
 def test_work_folder_is_removed(spark, tmp_path, monkeypatch):
     from waymill import storage
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from waymill import storage
 from waymill.plans import profile_and_publish
-from waymill.sinks import append_if_any, append_parquet, export_csv, overwrite_parquet
+from waymill.sinks import append_if_any, append_parquet, export_csv, overwrite_parquet, publish_table, write_partitions
 from waymill.sources import catalog_table, read_state
 
 
@@ -68,6 +68,48 @@ def test_profile_and_publish(spark, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+@pytest.mark.parametrize("external", [False, True])
+def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path, external):
+    name, path = f"t_{uuid.uuid4().hex}", str(tmp_path / "table") if external else None
+    try:
+        publish_table(spark.range(10), name, path, "overwrite")
+        broken = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id"))
+        with pytest.raises(Exception, match="broken"):
+            publish_table(broken, name, path, "overwrite")
+        assert catalog_table(spark, name).count() == 10
+        reader = catalog_table(spark, name)
+        publish_table(spark.range(3), name, path, "overwrite")
+        # Who has begun to read sees the old rows, who begins now the new ones.
+        assert (reader.count(), catalog_table(spark, name).count()) == (10, 3)
+        publish_table(spark.range(4), name, path, "append")
+        publish_table(catalog_table(spark, name).filter("id > 0"), name, path, "overwrite")
+        assert rows(catalog_table(spark, name)) == [(1,), (1,), (2,), (2,), (3,)]
+        if external:
+            # The table's folder and the one before it; what a failed write has left is gone, too.
+            assert len([f for f in tmp_path.iterdir() if f.name.startswith("table")]) == 2
+        with pytest.raises(ValueError, match="columns"):
+            publish_table(spark.range(3).withColumn("x", F.lit(1)), name, path, "overwrite")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_partitions_get_few_files_and_large_ones_several(spark, tmp_path, settings):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="200k", spark__sql__adaptive__coalescePartitions__minPartitionSize="20k")
+    df = spark.range(0, 60_000, 1, 16).select(
+        F.when(F.col("id") % 4 > 0, "large").otherwise(F.concat(F.lit("p"), (F.col("id") % 7).cast("string"))).alias("part"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    write_partitions(df, str(tmp_path / "t"), ["part"], "parquet")
+    counts = {p.name: len(list(p.glob("part-*.parquet"))) for p in (tmp_path / "t").glob("part=*")}
+    # Sixteen tasks would have written sixteen files each way.
+    assert counts.pop("part=large") > 4 and max(counts.values()) <= 2
+    sizes = [f.stat().st_size for f in (tmp_path / "t").glob("part=large/*.parquet")]
+    assert max(sizes) < 2_000_000
+    write_partitions(df.filter("part = 'p1'").limit(5), str(tmp_path / "t"), ["part"], "parquet")
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.filter("part = 'p1'").count() == 5 and back.filter("part = 'large'").count() == 45_000
+
+
 def test_shared_folder(spark, monkeypatch):
     class Conf:
         def __init__(self, value):

@@ -214,9 +214,9 @@ def test_files_without_newer_rows_stay_closed(spark, raw, tmp_path, monkeypatch)
     seen = []
     read = weather.files_by_header
 
-    def watched(spark, files):
-        seen.append(sorted(r["path"].rsplit("/", 1)[1] for r in files.select("path").collect()))
-        return read(spark, files)
+    def watched(spark, paths):
+        seen.append(sorted(path.rsplit("/", 1)[1] for path in paths.values()))
+        return read(spark, paths)
 
     monkeypatch.setattr(weather, "files_by_header", watched)
     assert forecast(spark, raw, tmp_path)["written"] == 5

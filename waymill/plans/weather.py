@@ -36,6 +36,7 @@ from ..sources import (
     OBSERVED_FILES,
     DatedCsv,
     files_by_header,
+    paths_of,
     read_backfill,
     read_by_header,
     read_state,
@@ -107,7 +108,7 @@ def unread_files(files: DataFrame, read: DataFrame | None, mark: Column | None,
     return known.filter(F.col("known").isNull() | newer).select(*files.columns)
 
 
-def _content_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+def _content_hash(columns: Sequence[str]) -> Column:
     return F.md5(F.to_json(F.struct(*(F.col(name) for name in columns))).cast("binary"))
 
 
@@ -149,7 +150,8 @@ def _run(
         opened = unread_files(files, read_state(spark, target + FILES), mark, marks)
         # The one listing of this run; what follows reads the list of the files to open.
         opened = materialize(opened, f"{work}/files")
-        scan = read_by_header(spark, files_by_header(spark, opened))
+        paths = paths_of(opened)
+        scan = read_by_header(spark, files_by_header(spark, paths))
         tagged = None if scan is None else scan.withColumn(CODE, layout.code_of(FILE))
         present = [df for df in (backfill, tagged) if df is not None]
         if not present:
@@ -164,10 +166,10 @@ def _run(
         newer = dated if mark is None else dated & (F.col(TIME) > mark)
         # The text is parsed once; everything after reads the stored rows.  Counts and means are taken while they are written.
         seen = Observation()
-        facts = [F.count(F.when(~dated & F.col(_WRITTEN).isNotNull(), 1)).alias("unreadable"), *_batch_facts(newer)]
+        unplaced = [(~dated, "undated"), (~dated & F.col(_WRITTEN).isNotNull(), "unreadable")]
+        facts = [*(F.count(F.when(rule, 1)).alias(name) for rule, name in unplaced), *_batch_facts(newer)]
         stored = materialize(readings.observe(seen, *facts), f"{work}/readings")
-        found = seen.get
-        unreadable = found["unreadable"]
+        found = first = seen.get
         batch = stored.filter(newer).drop(_WRITTEN, FILE)
         if by_key:
             batch = newer_than_per_key(batch, TIME, marks, [CODE])
@@ -182,17 +184,15 @@ def _run(
             means = {name: F.lit(found[f"mean_{name}"]).cast("double") for name in MEAN_FILLED}
             run.add(clean(batch, means=means), compact=compact)
         # Rows that cannot be placed in time are never compared with a mark: they go to a table of their own.
-        undated = stored.filter(~dated).select(CODE, F.col(_WRITTEN).alias(TIME), *numbers, FILE)
-        undated = undated.withColumn(_HASH, _content_hash(undated, [CODE, TIME, *numbers]))
-        undated = _new_undated(spark, undated, opened, target)
-        if not undated.isEmpty():
-            run.add(undated, UNDATED, compact=True)
-        ends = stored.groupBy(FILE).agg(F.min(TIME).alias("earliest"), F.max(TIME).alias("latest"))
-        ends = match_unique(opened.select(*_VERSION, "code"), ends, [FILE], "left")
-        if not opened.isEmpty():
-            run.add(ends, FILES, compact=True)
+        if first["undated"]:
+            undated = stored.filter(~dated).select(CODE, F.col(_WRITTEN).alias(TIME), *numbers, FILE)
+            undated = undated.withColumn(_HASH, _content_hash([CODE, TIME, *numbers]))
+            run.add(_new_undated(spark, undated, opened, target), UNDATED, compact=True)
+        if paths:
+            ends = stored.groupBy(FILE).agg(F.min(TIME).alias("earliest"), F.max(TIME).alias("latest"))
+            run.add(match_unique(opened.select(*_VERSION, "code"), ends, [FILE], "left"), FILES, compact=True)
         run.publish()
-    return {"written": found["written"], "unreadable_times": unreadable}
+    return {"written": found["written"], "unreadable_times": first["unreadable"]}
 
 
 def _batch_facts(belongs: Column) -> list[Column]:

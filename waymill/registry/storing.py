@@ -67,3 +67,17 @@ def catalog_publish(t: Tables) -> DataFrame:
     published = catalog_table(t.spark, table)
     t.spark.sql(f"DROP TABLE {table}")
     return published
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus <> 'F'")
+def catalog_replace(t: Tables) -> DataFrame:
+    """A published table whose rows are replaced twice; the name is dropped again, the files stay."""
+    table = f"waymill_replaced_{uuid.uuid4().hex}"
+    folder = new_folder(t.spark, "replaced")
+    publish_table(_orders(t), table, folder, "overwrite")
+    for without in ("O", "F"):
+        rest = t.orders.filter(F.col("o_orderstatus") != without)
+        publish_table(rest.select("o_totalprice", "o_orderkey", "o_orderdate"), table, folder, "overwrite")
+    replaced = catalog_table(t.spark, table)
+    t.spark.sql(f"DROP TABLE {table}")
+    return replaced

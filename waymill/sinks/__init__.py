@@ -1,5 +1,5 @@
 from .staged import StagedRun, finish_run
-from .writers import append_if_any, append_parquet, export_csv, overwrite_parquet, publish_table, write_partitions
+from .writers import append_if_any, append_parquet, export_csv, overwrite_parquet, publish_table, replace_table, write_partitions
 
 __all__ = [
     "StagedRun",
@@ -9,5 +9,6 @@ __all__ = [
     "finish_run",
     "overwrite_parquet",
     "publish_table",
+    "replace_table",
     "write_partitions",
 ]

@@ -8,6 +8,7 @@ from .dated_csv import (
     files_by_header,
     list_inputs,
     missing_partitions,
+    paths_of,
     read_backfill,
     read_by_header,
     read_dated_csv,
@@ -29,6 +30,7 @@ __all__ = [
     "inline_table",
     "list_inputs",
     "missing_partitions",
+    "paths_of",
     "read_backfill",
     "read_by_header",
     "read_daily",

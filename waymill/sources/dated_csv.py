@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import datetime
+import posixpath
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -100,27 +101,31 @@ def _literal(path: str) -> str:
     return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
-def files_by_header(spark: SparkSession, files: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """The paths of files (as of ``source_files``) by the column names in their first line.
+def paths_of(files: DataFrame) -> dict[str, str]:
+    """File names, as scans give them, and their paths (of ``source_files``): the driver needs these for the scans."""
+    return {row[FILE]: row["path"] for row in files.select(FILE, "path").collect()}
 
-    Tasks look at the lines and keep the first of each file; only the different headers, with their files' paths, come to the
-    driver, which needs these for the scans.  A file without any line is left out.
+
+def files_by_header(spark: SparkSession, paths: Mapping[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """The paths of files (``paths_of``) by the column names in their first line.
+
+    Tasks look at the lines and keep the first of each file; only the different headers, with their files' names, come to the
+    driver.  A file without any line is left out.
     """
-    paths = [_literal(row["path"]) for row in files.select("path").collect()]
     if not paths:
         return {}
-    lines = spark.read.text(paths).select(
+    lines = spark.read.text([_literal(path) for path in paths.values()]).select(
         F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block"), "value"
     )
     lines = lines.withColumn("line", F.monotonically_increasing_id()).filter("block = 0 AND length(trim(value)) > 0")
     firsts = lines.groupBy(FILE).agg(F.min_by("value", "line").alias("header"))
-    groups = firsts.join(files, FILE).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     found: dict[tuple[str, ...], list[str]] = {}
-    for row in groups.orderBy("header").collect():
-        names = tuple(name or f"_c{i}" for i, name in enumerate(next(csv.reader([row["header"]]))))
+    groups = firsts.groupBy("header").agg(F.collect_list(FILE).alias("files")).collect()
+    for header, files in sorted((row["header"], sorted(row["files"])) for row in groups):
+        names = tuple(name or f"_c{i}" for i, name in enumerate(next(csv.reader([header]))))
         if len({name.lower() for name in names}) < len(names):
-            raise ValueError(f"{row['paths'][0]}: a column name stands twice in the header")
-        found.setdefault(names, []).extend(row["paths"])
+            raise ValueError(f"{files[0]}: a column name stands twice in the header")
+        found.setdefault(names, []).extend(paths[file] for file in files)
     return found
 
 
@@ -155,11 +160,11 @@ def read_dated_csv(
     is no error.  None if there is no file at all.
     """
     files = source_files(spark, folder, layout, codes, start, end)
+    paths = paths_of(files)
     if columns is None:
-        scan = read_by_header(spark, files_by_header(spark, files))
+        scan = read_by_header(spark, files_by_header(spark, paths))
     else:
-        paths = [row["path"] for row in files.select("path").collect()]
-        scan = read_by_header(spark, {tuple(columns): paths} if paths else {})
+        scan = read_by_header(spark, {tuple(columns): list(paths.values())} if paths else {})
     if scan is None:
         return None
     tags = [layout.code_of(FILE).alias(code_name)]
@@ -178,15 +183,13 @@ def read_backfill(
     layout = DatedCsv(glob)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     files = if_present(lambda: reader.option("pathGlobFilter", layout.name_filter(codes)).load(folder))
-    found = set()
-    if files is not None:
-        files = files.select("path", F.col("_metadata.file_path").alias(FILE), layout.code_of("path").alias("code"))
-        # One file per code, so the list of names is as short as the list of codes.
-        found = {row["code"] for row in files.select("code").dropDuplicates().collect()}
+    # One file per code, so the list of names is as short as the list of codes.
+    paths = {} if files is None else paths_of(files.select("path", F.col("_metadata.file_path").alias(FILE)))
+    found = {posixpath.basename(path).split("_")[0] for path in paths.values()}
     absent = [code for code in codes if code not in found]
     if absent:
         raise FileNotFoundError(f"no backfill file below {folder} for {', '.join(absent)}")
-    scan = read_by_header(spark, files_by_header(spark, files))
+    scan = read_by_header(spark, files_by_header(spark, paths))
     if scan is None:
         raise ValueError(f"the backfill files below {folder} are empty")
     return scan.withColumn(code_name, layout.code_of(FILE))
