@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U64, mix64, released
+from .arrays import U64, mix64, released, row_blocks, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -23,7 +25,13 @@ _LITERAL = 0x110000
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _CUT = re.compile(r"(?<=[^ ]) ")
 _SLICE = 1 << 20
-_BLOCK = 300_000
+# A block of lattices has about so many chunks, and distinct ones of so many characters; a batch so many bytes of text.
+_BLOCK = 150_000
+_BLOCK_CHARS = 400_000
+_BATCH = 2_000_000
+# A longer chunk has its lattice to itself, made and walked in segments of so many characters.
+_LONG = 512
+_SEGMENT = 1 << 15
 _BASE = U64(0x9E3779B97F4A7C15)
 
 
@@ -210,6 +218,91 @@ class Lattice:
         return taken, pieces
 
 
+class LongChunk:
+    """The piece lattice of one long chunk (an unspaced line, say), in memory for one number a character.
+
+    The filter keeps the probability of each position only; edges are found for a segment of positions at a time, for the filter
+    and again, from the last segment back, for the sampling.
+    """
+
+    def __init__(self, table: PieceTable, chunk: str):
+        self.table = table
+        codes = np.frombuffer(chunk.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
+        codes[codes == ord(MARK)] = _LITERAL
+        codes[codes == 32] = ord(MARK)
+        self.codes = codes
+        forward = [0.0]
+        for low in range(0, len(codes), _SEGMENT):
+            first, source, _, log_p = self._edges(low, min(len(codes), low + _SEGMENT))
+            for begin, end in zip(first, first[1:]):
+                if end == begin + 1:
+                    forward.append(forward[source[begin]] + log_p[begin])
+                else:
+                    values = [forward[source[e]] + log_p[e] for e in range(begin, end)]
+                    top = max(values)
+                    forward.append(top + math.log(sum([math.exp(v - top) for v in values])))
+        self.forward = np.array(forward)
+
+    def _edges(self, low: int, high: int) -> tuple[list[int], list[int], list[int], list[float]]:
+        """The edges into the positions after ``low`` up to ``high``, short ones first: where those of each position begin, and
+        the source, the piece and the log probability of each edge."""
+        table, begin = self.table, max(0, low - self.table.longest + 1)
+        codes = self.codes[begin:high]
+        letters = table.letter(codes)
+        single = table.singles[codes]
+        size = 1 + (codes > 0x7F) + (codes > 0x7FF) + ((codes > 0xFFFF) & (codes != _LITERAL))
+        chance = np.where(single >= 0, table.log_p[np.maximum(single, 0)], table.byte_log_p * size)
+        own = np.arange(low - begin, high - begin)
+        tails, sources = [own], [own]
+        pieces, chances = [np.where(single >= 0, single, table.n + codes)[own]], [chance[own]]
+        start, hashes = np.flatnonzero(single != -2), letters[single != -2]
+        for length in range(2, table.longest + 1):
+            inside = start + length <= len(codes)
+            start, hashes = start[inside], hashes[inside]
+            if not len(start):
+                break
+            with np.errstate(over="ignore"):
+                hashes = hashes * _BASE + letters[start + length - 1]
+            piece = table.find(hashes)
+            whole = (piece >= 0) & (begin + start + length > low)
+            tails.append(start[whole] + length - 1), sources.append(start[whole])
+            pieces.append(piece[whole]), chances.append(table.log_p[piece[whole]])
+            start, hashes = start[piece != -2], hashes[piece != -2]
+        tail = np.concatenate(tails) - (low - begin)
+        order = np.argsort(tail, kind="stable")
+        first = np.concatenate(([0], np.cumsum(np.bincount(tail, minlength=high - low))))
+        ordered = [np.concatenate(x)[order] for x in (sources, pieces, chances)]
+        return first.tolist(), (ordered[0] + begin).tolist(), ordered[1].tolist(), ordered[2].tolist()
+
+    @np.errstate(over="ignore")
+    def sample(self, key: np.ndarray) -> np.ndarray:
+        """The pieces of one occurrence, drawn as ``Lattice.sample`` draws them."""
+        found, node, step = [], len(self.codes), 0
+        while node:
+            low = (node - 1) // _SEGMENT * _SEGMENT
+            first, source, piece, log_p = self._edges(low, node)
+            behind = max(0, low - self.table.longest)
+            forward = self.forward[behind:node].tolist()
+            steps = np.arange(step, step + node - low).astype(U64)
+            chances = iter(((mix64(key + steps * U64(0xD1342543DE82EF95)) >> U64(40)) / float(1 << 24)).tolist())
+            while node > low:
+                left, edge, last = next(chances), first[node - low - 1], first[node - low] - 1
+                if edge < last:
+                    values = [forward[source[e] - behind] + log_p[e] for e in range(edge, last + 1)]
+                    top = max(values)
+                    shares = [math.exp(v - top) for v in values]
+                    left *= sum(shares)
+                    for share in shares[:-1]:
+                        if share > left:
+                            break
+                        left -= share
+                        edge += 1
+                node = source[edge]
+                found.append(piece[edge])
+                step += 1
+        return np.array(found[::-1], np.int32)
+
+
 def row_seed(key: object, seed: int) -> int:
     return int.from_bytes(hashlib.blake2b(f"{seed}/{key}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
@@ -226,35 +319,55 @@ def _chunks(text: str) -> Iterator[list[str]]:
 
 
 def sample_pieces(table: PieceTable, keys: list[int], texts: list[str]) -> list[np.ndarray]:
-    """Sampled pieces of each text, in blocks of chunks that bound the memory for lattices."""
+    """Sampled pieces of each text, in blocks of chunks that bound the memory for lattices, by number and by characters."""
     results: list[list[np.ndarray]] = [[] for _ in texts]
     kinds: dict[str, int] = {}
     held: list[tuple[int, np.ndarray, np.ndarray]] = []
-    size = 0
+    size = chars = 0
+
+    def add(row: int, part: np.ndarray) -> None:
+        results[row].append(_with_bytes(table, part) if (part >= table.n).any() else part.astype(np.int32))
 
     def flush() -> None:
+        nonlocal size, chars
         if held:
             lattice = Lattice(table, list(kinds))
             counts, pieces = lattice.sample(np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held]))
             ends, at = np.concatenate(([0], np.cumsum(counts))), 0
             for row, own, _ in held:
-                part = pieces[ends[at] : ends[at + len(own)]]
-                results[row].append(_with_bytes(table, part) if (part >= table.n).any() else part.astype(np.int32))
+                add(row, pieces[ends[at] : ends[at + len(own)]])
                 at += len(own)
         held.clear()
         kinds.clear()
+        size = chars = 0
+
+    def take(row: int, key: int, number: int, chunks: list[str]) -> None:
+        nonlocal size, chars
+        for first in range(0, len(chunks), _BLOCK):
+            before = len(kinds)
+            own = np.array([kinds.setdefault(c, len(kinds)) for c in chunks[first : first + _BLOCK]], np.int64)
+            count = np.arange(number + first, number + first + len(own)).astype(U64)
+            held.append((row, own, U64(key) + count * _BASE))
+            size += len(own)
+            if len(kinds) > before:
+                chars += sum(map(len, islice(kinds, before, None)))
+            if size >= _BLOCK or chars >= _BLOCK_CHARS:
+                flush()
 
     for row, (key, text) in enumerate(zip(keys, texts)):
         number = 0
         for chunks in _chunks(text):
-            for first in range(0, len(chunks), _BLOCK):
-                own = np.array([kinds.setdefault(c, len(kinds)) for c in chunks[first : first + _BLOCK]], np.int64)
-                count = np.arange(number, number + len(own)).astype(U64)
-                held.append((row, own, U64(key) + count * _BASE))
-                number, size = number + len(own), size + len(own)
-                if size >= _BLOCK:
-                    flush()
-                    size = 0
+            long = [i for i, c in enumerate(chunks) if len(c) > _LONG]
+            at = 0
+            for i in long:
+                take(row, key, number + at, chunks[at:i])
+                # What stands before it in the text comes first in the result, too.
+                flush()
+                with np.errstate(over="ignore"):
+                    add(row, LongChunk(table, chunks[i]).sample(U64(key) + U64(number + i) * _BASE))
+                at = i + 1
+            take(row, key, number + at, chunks[at:])
+            number += len(chunks)
     flush()
     return [np.concatenate(r) if r else np.empty(0, np.int32) for r in results]
 
@@ -279,6 +392,7 @@ def encode_pieces(
     text: str = "text",
     name: str = "pieces",
     decoded: str | None = None,
+    lossless: str | None = None,
     model: str = MODEL,
     alpha: float = 0.5,
     seed: int = 0,
@@ -290,27 +404,34 @@ def encode_pieces(
     runs agree whatever the partitioning, and repeated rows get the same pieces.  ``model`` is a path that
     every executor has.  Null and empty texts have no pieces; a null key is a key like any other.
     An input column called ``name`` is replaced.  With ``decoded`` the pieces are decoded at once, by what ``decode_pieces``
-    does, into a column of that name; that spares sending them to Python again.
+    does, into a column of that name; that spares sending them to Python again.  With ``lossless`` a column of that name tells
+    whether they decode to the text, which is not sent back.
+
+    Texts are taken some two million bytes at a time, and their lattices in blocks; a word of more than 512 characters has
+    a lattice to itself that is made in segments, so that memory does not follow the length of words.  An empty table gives
+    an empty result; other columns stay as they are.
     """
-    added = [name] if decoded is None else [name, decoded]
-    docs = docs.drop(*added)
-    kinds = [f"`{name}` array<int>", f"`{decoded}` string"][: len(added)]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + kinds)
+    new = {name: "array<int>"} | ({decoded: "string"} if decoded else {}) | ({lossless: "boolean"} if lossless else {})
+    docs = docs.drop(*new)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"`{n}` {kind}" for n, kind in new.items()])
     at_key, at_text = docs.columns.index(key), docs.columns.index(text)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(model, alpha)
         for whole in batches:
-            for first in range(0, whole.num_rows, 1000):
-                batch = whole.slice(first, 1000)
+            for first, last in row_blocks(text_bytes(whole.column(at_text))[1], _BATCH):
+                batch = whole.slice(first, last - first)
                 seeds = [row_seed(k, seed) for k in batch.column(at_key).to_pylist()]
-                found = sample_pieces(table, seeds, [t or "" for t in batch.column(at_text).to_pylist()])
+                texts = [t or "" for t in batch.column(at_text).to_pylist()]
+                found = sample_pieces(table, seeds, texts)
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32))
                 values = pa.array(np.concatenate(found) if found else np.empty(0, np.int32), pa.int32())
                 arrays = [*batch.columns, pa.ListArray.from_arrays(offsets, values)]
                 if decoded is not None:
                     arrays.append(pa.array([_decoded(table, f.tolist()) for f in found], pa.string()))
-                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *added])
+                if lossless is not None:
+                    arrays.append(pa.array([_decoded(table, f.tolist()) == t for f, t in zip(found, texts)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *new])
 
     return docs.mapInArrow(released(encoded), schema)
 
