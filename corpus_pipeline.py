@@ -64,9 +64,8 @@ def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents with their sampled pieces; ``lossless`` tells that decoding gives the text again."""
-    coded = encode_pieces(docs.select(*COLUMNS), decoded="decoded")
-    lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces", lossless.alias("lossless"))
+    coded = encode_pieces(docs.select("doc_id", "source", "text"), lossless="lossless")
+    return coded.select("doc_id", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "lossless")
 
 
 STAGES = [
