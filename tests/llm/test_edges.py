@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from waymill.llm.archives import read_archives, write_archives
-from waymill.llm.fingerprint import fingerprint_edits, fingerprints
+from waymill.llm.fingerprint import PrefixHashes, code_points, compare_edited, fingerprint_edits, fingerprint_of, fingerprints, likeness
 from waymill.llm.hosts import host_rules
 from waymill.llm.jaccard import near_duplicates
 from waymill.llm.language import identify_languages, learn_languages
@@ -179,3 +179,34 @@ def test_pipeline_stages(spark, docs, empty, tmp_path):
         assert result.count() > 0
         if name != "pieces":
             assert result.columns == list(corpus_pipeline.COLUMNS)
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lambda d, s: mix_sources(d, size="n"),
+        lambda d, s: host_rules(d),
+        lambda d, s: identify_languages(d, learn_languages(d)),
+    ],
+)
+@pytest.mark.parametrize("name", ["__text", "__range", "__local", "__before", "__host"])
+def test_reserved_names_are_refused(spark, docs, operator, name):
+    with pytest.raises(ValueError, match="reserved"):
+        operator(docs.withColumn(name, F.lit(1)), spark)
+
+
+@pytest.mark.parametrize("n", [*range(0, 70), 100, 127, 128, 200, 255, 256, 300, 511, 512, 700])
+def test_edits_of_short_texts_stay_alike(n):
+    text, after = "".join(chr(97 + i * i * 7 % 26) + "xyz"[i % 3] for i in range(n))[:n], "Q" * 400
+    _, n_chars, _, own, edited, near, far, same = compare_edited(1, text, after)
+    assert n_chars == n and same >= n - n // 4
+    if n >= 8:
+        assert 0 < near < 1 and near > far
+    assert likeness(own, own) == 1.0 and likeness(own, edited) == near
+
+
+def test_texts_of_neighbouring_lengths_are_comparable():
+    text = "".join(f"word{i} " for i in range(400))
+    for n in (9, 20, 40, 70, 130, 260, 520):
+        one, other = (fingerprint_of(PrefixHashes(code_points(text[:k]))) for k in (n, 2 * n - 2))
+        assert likeness(one, other) > 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,3 +24,10 @@ def fold(key: Column, parts: int) -> Column:
 def group_key(value: Column) -> Column:
     """A text that is never null and differs where the values differ, null among them."""
     return F.when(value.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), value.cast("string")))
+
+
+def refuse_reserved(names: Iterable[str]) -> None:
+    """Operators add columns whose names begin with two underscores; an input must not have such names."""
+    taken = sorted(name for name in names if name.startswith("__"))
+    if taken:
+        raise ValueError(f"column names that begin with two underscores are reserved: {', '.join(taken)}")

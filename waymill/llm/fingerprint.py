@@ -96,33 +96,56 @@ class PrefixHashes:
         return low
 
 
-def fingerprint_of(hashes: PrefixHashes) -> str:
-    """Length, hash of the whole text, and the ``KEPT`` smallest of the mixed hashes of its spans of ``SPAN`` code points.
+def span_widths(n: int) -> list[int]:
+    """The widths of the spans that a text of n code points is told by, the wider first.
 
-    A text shorter than a span is one span.  Equal texts have equal fingerprints.
+    A span is an eighth of the text (a power of two, 1 to ``SPAN``), so that an edit of a part leaves whole spans in short
+    texts too.  Texts of less than 16 spans' length have those of half the width as well: two texts of which one is up to twice as
+    long as the other then have a width in common.
     """
-    width = min(SPAN, hashes.n)
+    if not n:
+        return []
+    width = min(SPAN, 1 << max(0, (n // 8).bit_length() - 1))
+    return [width, width // 2] if 1 < width and n < 16 * SPAN else [width]
+
+
+def _least_spans(hashes: PrefixHashes, width: int) -> np.ndarray:
     least = np.empty(0, U64)
-    if width:
-        for both in hashes.spans(width):
-            mixed = np.sort(np.concatenate((least, mix64(both))))
-            least = mixed[np.concatenate(([True], mixed[1:] != mixed[:-1]))][:KEPT]
+    for both in hashes.spans(width):
+        mixed = np.sort(np.concatenate((least, mix64(both))))
+        least = mixed[np.concatenate(([True], mixed[1:] != mixed[:-1]))][:KEPT]
+    return least
+
+
+def fingerprint_of(hashes: PrefixHashes) -> str:
+    """Length, hash of the whole text, and for each of its span widths the ``KEPT`` smallest of the mixed hashes of its spans.
+
+    Equal texts have equal fingerprints.
+    """
     whole = "".join(f"{h:08x}" for h in hashes.span(0, hashes.n))
-    return f"{hashes.n:x}.{whole}.{(least >> U64(32)).astype('>u4').tobytes().hex()}"
+    marks = (f"{width:x}-{(_least_spans(hashes, width) >> U64(32)).astype('>u4').tobytes().hex()}" for width in span_widths(hashes.n))
+    return ".".join((f"{hashes.n:x}", whole, *marks))
+
+
+def _marks(fingerprint: str) -> dict[str, set[str]]:
+    parts = (part.partition("-")[::2] for part in fingerprint.split(".")[2:])
+    return {width: {x[i : i + 8] for i in range(0, len(x), 8)} for width, x in parts}
 
 
 def likeness(one: str, other: str) -> float:
     """Share of spans that two fingerprinted texts have in common (0 to 1), 1 only for equal fingerprints.
 
-    Estimated from the smallest hashes of both together as twice the common spans by the
-    spans of the one and the other; exact where a text has no more spans than are kept.
+    Taken at the widest spans that both have; 0 if there are none, as for texts of very different length.  Estimated from the
+    smallest hashes of both together as twice the common spans by the spans of the one and the other; exact where a
+    text has no more spans than are kept.
     """
     if one == other:
         return 1.0
-    a, b = (x.rpartition(".")[2] for x in (one, other))
-    a, b = ({x[i : i + 8] for i in range(0, len(x), 8)} for x in (a, b))
-    if not a or not b:
+    a, b = _marks(one), _marks(other)
+    width = max(a.keys() & b.keys(), key=lambda w: int(w, 16), default=None)
+    if width is None:
         return 0.0
+    a, b = a[width], b[width]
     both = sorted(a | b)
     if len(a) == KEPT or len(b) == KEPT:
         both = both[:KEPT]

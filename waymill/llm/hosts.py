@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import match_unique
 from ..storage import materialize, new_folder
 from .arrays import released
-from .columns import group_key
+from .columns import group_key, refuse_reserved
 
 _SYMBOLS = b"#*$%&|<>"
 _SPACES = b"\x09\x0a\x0b\x0c\x0d\x20"
@@ -60,6 +60,7 @@ def measure_documents(docs: DataFrame, text: str = "text") -> DataFrame:
             arrays = [batch.column(i + 1) for i in range(len(kept))] + [pa.array(c, pa.int64()) for c in columns]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *MEASURES])
 
+    refuse_reserved(kept)
     return docs.select(F.col(text).alias("__text"), *kept).mapInArrow(released(measured), schema)
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import materialize, new_folder
-from .arrays import LOWER, released, text_bytes
+from .arrays import LOWER, released, row_blocks, text_bytes
+from .columns import refuse_reserved
 
 GRAM = 4
 _PIECE = 4_000_000
@@ -187,6 +188,7 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, *, text: str =
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["lang_pred string", "score double"])
     shared = docs.sparkSession.sparkContext.broadcast(filters)
     names = [f.name for f in kept]
+    refuse_reserved(names)
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learnt = shared.value

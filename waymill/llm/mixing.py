@@ -8,11 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import match_unique
-from .columns import group_key
+from .columns import group_key, refuse_reserved
 from .ranks import with_position
 
-_OWN = ("__key", "__rank", "__weight", "__target", "__source_size", "__position", "__copies", "__row")
-
 
 def source_targets(
     docs: DataFrame, source: str, size: str, weights: Sequence[int], share: float, most: int
@@ -74,8 +72,7 @@ def mix_sources(
     and an empty table gives an empty result.  Input columns named like a result column
     (``copies``, ``source_size``, ``target``) are replaced; names that begin with ``__`` are refused.
     """
-    if clash := [c for c in docs.columns if c in _OWN]:
-        raise ValueError(f"reserved column names: {', '.join(clash)}")
+    refuse_reserved(docs.columns)
     docs = docs.drop("copies", "source_size", "target")
     targets = source_targets(docs, source, size, weights, share, most)
     keyed = docs.withColumn("__key", group_key(F.col(source)))

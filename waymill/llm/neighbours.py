@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ def with_following(
     if bounds:
         # The number of bounds at or below the key, by halving steps.
         steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))))
-        known = F.array(*(F.lit(b).cast("bigint") for b in bounds))
+        # One literal, however many bounds there are.
+        known = F.lit(np.array(bounds, np.int64))
 
         def step(at, width):
             return F.when((at + width <= len(bounds)) & (F.get(known, at + width - 1) <= place), at + width).otherwise(at)
