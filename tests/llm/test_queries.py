@@ -7,9 +7,11 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
+from waymill.llm.language import _HASHES, identify_languages, learn_languages
 from waymill.llm.pieces import MODEL, piece_table
 from waymill.llm.queries import QUERIES
 from waymill.storage import materialize, new_folder
@@ -110,6 +112,37 @@ def test_held_out_languages(spark):
     assert sum(r["lang_pred"] == langs[r["doc_id"]]["lang"] for r in rows) > 0.97 * len(rows)
 
 
+def test_filters_hold_all_languages_of_each_gram(spark):
+    """Against counts in plain Python: every language that has an n-gram is returned for it, and predictions follow from that."""
+    rows = [r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect() if r["lang"] and r["text"]]
+
+    def grams(text):
+        form = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in text.encode().lower())
+        return [form[i : i + 4] for i in range(len(form) - 3)]
+
+    counts: dict = {}
+    for r in rows:
+        counts.setdefault(r["lang"], Counter()).update(grams(r["text"]))
+    has = {lang: {g for g, n in c.items() if n >= 5e-6 * sum(c.values())} for lang, c in counts.items()}
+    filters = learn_languages(spark.read.parquet(f"{SMALL}/documents.parquet").select("lang", "text"))
+    assert list(filters.languages) == sorted(has)
+    every = sorted(set().union(*has.values()))
+    codes = np.array([int.from_bytes(g, "little") for g in every])
+    bits = filters.table.shape[1].bit_length() - 1
+    slots = [filters.slots(codes, odd, bits) for odd in _HASHES]
+    for i, lang in enumerate(filters.languages):
+        there = [filters.table[i // 8][s] >> (i % 8) & 1 for s in slots]
+        found = there[0] & there[1] & there[2]
+        truth = np.array([g in has[lang] for g in every])
+        assert found[truth].all() and found[~truth].mean() < 0.02
+    for r in identify_languages(spark.createDataFrame(rows).select("doc_id", "text"), filters).collect():
+        text = next(x["text"] for x in rows if x["doc_id"] == r["doc_id"])
+        hits = sorted((sum(g in has[lang] for g in grams(text)), lang) for lang in has)
+        # The filters' false positives are corrected on average, so close calls may differ.
+        if hits[-1][0] > 1.05 * hits[-2][0] + 3:
+            assert r["lang_pred"] == hits[-1][1]
+
+
 def test_held_out_toxicity(spark):
     toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
     rows = [r for r in QUERIES["op4_toxicity"](spark, MIDDLE).collect() if r["held_out"] and r["doc_id"] in toxic]

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize, new_folder
@@ -148,13 +148,13 @@ class LanguageFilters:
 
 
 def learn_languages(
-    docs: DataFrame, *, text: str = "text", lang: str = "lang", least_rate: float = 5e-6, least_share: float = 0.2
+    docs: DataFrame, *, text: str = "text", lang: str = "lang", least_rate: float = 5e-6
 ) -> LanguageFilters:
     """Filters of the n-grams of each language, from all documents that have a language and a text.
 
-    A language has an n-gram if at least ``least_rate`` of its n-grams are that one, and its rate is at
-    least ``least_share`` of the highest rate of any language.  So a filter holds at most 1 / least_rate
-    n-grams, whatever the size of the corpus; no more than these are sent to the driver.
+    A language has an n-gram if at least ``least_rate`` of its n-grams are that one; an n-gram has all languages that have it.
+    So a filter holds at most 1 / least_rate n-grams, whatever the size of the corpus; no more than these are sent to the driver.
+    Repeated rows count each, and from an empty table nothing is learnt.
     """
     learnt = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
     counts = learnt.mapInArrow(released(_count_batches), "lang string, gram bigint, n bigint")
@@ -166,11 +166,7 @@ def learn_languages(
         return LanguageFilters.build([], np.empty(0, np.int64), np.empty(0, np.int64))
     names = sorted(sums)
     total = F.element_at(F.create_map(*(F.lit(x) for pair in sums.items() for x in pair)), F.col("lang"))
-    rate = F.col("n") / total
-    common = counts.withColumn("rate", rate).filter(F.col("rate") >= least_rate)
-    best = F.max("rate").over(Window.partitionBy("gram"))
-    common = common.withColumn("best", best).filter(F.col("rate") >= least_share * F.col("best")).select("lang", "gram")
-    table = common.toArrow()
+    table = counts.filter(F.col("n") / total >= least_rate).select("lang", "gram").toArrow()
     index = {name: i for i, name in enumerate(names)}
     langs = np.array([index[x] for x in table["lang"].to_pylist()], np.int64)
     return LanguageFilters.build(names, table["gram"].to_numpy().astype(np.int64), langs)
@@ -192,21 +188,27 @@ def identify_languages(docs: DataFrame, filters: LanguageFilters, *, text: str =
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learnt = shared.value
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
-            preds, scores = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
-            if learnt.languages and batch.num_rows:
-                ascii_letters = np.concatenate(([0], np.cumsum((_FORM[data] != 32) & (data < 128), dtype=np.int64)))
-                latin = np.diff(ascii_letters[offsets]) > 0
-                _, known = learnt.hits(data, offsets)
-                best = known.argmax(axis=0)
-                top = known.max(axis=0)
-                second = np.sort(known, axis=0)[-2] if len(learnt.languages) > 1 else np.zeros_like(top)
-                share = np.divide(top, top + second, out=np.zeros_like(top), where=top > 0)
-                for i in range(batch.num_rows):
-                    if latin[i] or any(c.isalpha() for c in batch.column(0)[i].as_py() or ""):
-                        preds[i], scores[i] = learnt.languages[best[i]], share[i]
-            arrays = [batch.column(i + 1) for i in range(len(names))] + [pa.array(preds, pa.string()), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "lang_pred", "score"])
+        for whole in batches:
+            for first, last in row_blocks(text_bytes(whole.column(0))[1], _PIECE):
+                batch = whole.slice(first, last - first)
+                data, offsets = text_bytes(batch.column(0))
+                preds, scores = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
+                if learnt.languages:
+                    _, known = learnt.hits(data, offsets)
+                    best, top = known.argmax(axis=0), known.max(axis=0)
+                    second = np.sort(known, axis=0)[-2] if len(learnt.languages) > 1 else np.zeros_like(top)
+                    share = np.divide(top, top + second, out=np.zeros_like(top), where=top > 0)
+                    latin = _rows_with((_FORM[data] != 32) & (data < 128), offsets)
+                    for i in range(batch.num_rows):
+                        if latin[i] or any(c.isalpha() for c in batch.column(0)[i].as_py() or ""):
+                            preds[i], scores[i] = learnt.languages[best[i]], share[i]
+                arrays = [batch.column(i + 1) for i in range(len(names))] + [pa.array(preds, pa.string()), pa.array(scores)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*names, "lang_pred", "score"])
 
     return docs.select(F.col(text).alias("__text"), *names).mapInArrow(released(predicted), schema)
+
+
+def _rows_with(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which rows have a byte that is flagged."""
+    at = np.flatnonzero(flags)
+    return np.searchsorted(at, offsets[1:]) > np.searchsorted(at, offsets[:-1])
