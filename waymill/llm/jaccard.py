@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,9 @@ _CHUNK_DOCS = 1024
 _CHUNK_SHINGLES = 1 << 20
 # Visits that a task merges at a time.
 _MERGED = 500_000
+# Sets of one shingle that are looked at pair by pair, and rows of one shingle that are held at a time.
+_PAIRED = 64
+_GROUP = 200_000
 
 
 def fine_vector(shingles: np.ndarray) -> np.ndarray:
@@ -152,10 +156,11 @@ def link_sets(sets: list[np.ndarray], labels: np.ndarray, percent: int, hosts: i
     return found
 
 
-def _in_slices(values: np.ndarray, name: int) -> pa.RecordBatch:
+def _in_slices(values: np.ndarray) -> pa.RecordBatch:
     """An array of fixed length as rows of slices, to be merged with those of other tasks."""
     parts = [values[i : i + _SLICE].tobytes() for i in range(0, len(values), _SLICE)]
-    arrays = [np.arange(len(parts), dtype=np.int32), np.full(len(parts), name % 64, np.int32)]
+    task = TaskContext.get().partitionId()
+    arrays = [np.arange(len(parts), dtype=np.int32), np.full(len(parts), task, np.int32)]
     return pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(parts, pa.binary())], names=["slice", "bundle", "numbers"])
 
 
@@ -163,7 +168,7 @@ _SLICES = "slice int, bundle int, numbers binary"
 
 
 def _merged_slices(parts: DataFrame, merge: np.ufunc, kind: type) -> np.ndarray:
-    """The tasks' arrays merged by a function of numpy: slices of some tasks, then of all; only the result comes to the driver."""
+    """The tasks' arrays merged by a function of numpy, those of 32 tasks at a time, then 32 of these; only the result comes to the driver."""
 
     def merging(kind: type):
         def merged(frame: pd.DataFrame) -> pd.DataFrame:
@@ -174,8 +179,10 @@ def _merged_slices(parts: DataFrame, merge: np.ufunc, kind: type) -> np.ndarray:
 
         return merged
 
-    some = parts.groupBy("slice", "bundle").applyInPandas(merging(kind), _SLICES)
-    rows = some.groupBy("slice").applyInPandas(merging(np.int64), _SLICES).orderBy("slice").collect()
+    for level in (kind, np.int64):
+        parts = parts.withColumn("bundle", F.shiftright("bundle", 5))
+        parts = parts.groupBy("slice", "bundle").applyInPandas(merging(level), _SLICES)
+    rows = parts.groupBy("slice").applyInPandas(merging(np.int64), _SLICES).orderBy("slice").collect()
     return np.concatenate([np.frombuffer(row["numbers"], np.int64) for row in rows]) if rows else np.empty(0, np.int64)
 
 
@@ -183,12 +190,11 @@ def cell_counts(texts: DataFrame, words: int) -> np.ndarray:
     """How many shingles of all texts fall into each of a fixed number of hash cells; it ranks frequent shingles last."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, name = np.zeros(_CELLS, np.uint32), 0
+        counts = np.zeros(_CELLS, np.uint32)
         for batch in batches:
             for shingles in shingle_sets(batch.column(0), words):
                 np.add.at(counts, (shingles >> U64(64 - _CELL_BITS)).astype(np.int64), 1)
-                name = (name + int(shingles[0]) if len(shingles) else name) & 0xFFFF
-        yield _in_slices(counts, name)
+        yield _in_slices(counts)
 
     found = _merged_slices(texts.mapInArrow(released(counted), _SLICES), np.add, np.uint32)
     return np.minimum(found, np.iinfo(np.int32).max).astype(np.int32) if len(found) else np.zeros(_CELLS, np.int32)
@@ -198,13 +204,12 @@ def key_bits(keys: DataFrame) -> np.ndarray:
     """A bit table of fixed size over 128-bit keys: a key whose bit is not set is not among them."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, name = np.zeros(_BITS // 64, np.int64), 0
+        bits = np.zeros(_BITS // 64, np.int64)
         for batch in batches:
             if batch.num_rows:
                 at = _bit_of(batch.column(0))
                 np.bitwise_or.at(bits, at >> 6, np.left_shift(np.int64(1), at & 63))
-                name = (name + int(at[0])) & 0xFFFF
-        yield _in_slices(bits, name)
+        yield _in_slices(bits)
 
     found = _merged_slices(keys.mapInArrow(released(marked), _SLICES), np.bitwise_or, np.int64)
     return found if len(found) else np.zeros(_BITS // 64, np.int64)
@@ -256,61 +261,156 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
-def _visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shingle, row, chunk, weight, component), sorted by shingle → which rows are to visit which chunks (``row``, ``chunk``).
+def may_link(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
+    """Whether sets that share a shingle may link, by their sizes and the shingle's place in each (``size``, ``place``).
 
-    Of two sets of different components that share a shingle, that of the smaller one (by weight, then name) visits the
-    other's chunk, unless both are in it.  Near copies share many shingles and so give the same visits again and
-    again; these are merged in blocks before they leave the task.
+    Shingles stand in one order in all sets, so that two sets have in common at most as many before the shared one as the smaller
+    place, and after it as the shorter rest.
     """
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
-
-    def merged() -> pa.RecordBatch:
-        rows, chunks = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((chunks, rows))
-        rows, chunks = rows[order], chunks[order]
-        new = np.concatenate(([True], (rows[1:] != rows[:-1]) | (chunks[1:] != chunks[:-1])))
-        found.clear()
-        return pa.RecordBatch.from_arrays([pa.array(rows[new]), pa.array(chunks[new])], names=["row", "chunk"])
-
-    held = [np.empty(0, np.int64)] * 5
-    last = False
-    source = iter(batches)
-    while not last:
-        batch = next(source, None)
-        last = batch is None
-        columns = held if last else [np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns)]
-        shingles = columns[0]
-        starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1]))) if len(shingles) else np.empty(0, np.int64)
-        # The last group may go on in the next batch.
-        end = len(shingles) if last or not len(starts) else int(starts[-1])
-        held = [c[end:] for c in columns]
-        starts = starts[starts < end]
-        if not len(starts):
-            continue
-        components = columns[4][:end]
-        mixed = np.minimum.reduceat(components, starts) != np.maximum.reduceat(components, starts)
-        ends = np.append(starts[1:], end)
-        for low, high in zip(starts[mixed].tolist(), ends[mixed].tolist()):
-            rows, chunks, weights, names = (c[low:high] for c in columns[1:])
-            order = np.lexsort((names, weights))
-            rank = np.empty(len(rows), np.int64)
-            # Equal ranks for sets of one component.
-            rank[order] = np.cumsum(np.concatenate(([0], names[order[1:]] != names[order[:-1]])))
-            places, of = np.unique(chunks, return_inverse=True)
-            best = np.zeros(len(places), np.int64)
-            np.maximum.at(best, of, rank)
-            for k in np.flatnonzero(best > 0).tolist():
-                go = rows[(rank < best[k]) & (of != k)]
+    common = np.minimum(one[1], other[1]) + np.minimum(one[0] - one[1], other[0] - other[1])
+    return (100 + percent) * common >= percent * (one[0] + other[0])
+
+
+def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return at & 0xFFFFFFFF, at >> 32
+
+
+def partnered(shingles: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
+    """Of sets (sorted by a shingle that they have), which may link with another that has it; ``at`` packs place and size.
+
+    All pairs are looked at where up to ``_PAIRED`` sets have the shingle; where more have it, all are kept.
+    """
+    starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1]))[: len(shingles)])
+    counts = np.diff(np.append(starts, len(shingles)))
+    several = np.repeat(counts, counts)
+    keep = several > _PAIRED
+    some = np.flatnonzero((several > 1) & ~keep)
+    for step in range(1, _PAIRED):
+        # What has as many neighbours left in its group.
+        some = some[some + step < len(shingles)]
+        some = some[shingles[some] == shingles[some + step]]
+        if not len(some):
+            break
+        ok = some[may_link(_unpacked(at[some]), _unpacked(at[some + step]), percent)]
+        keep[ok] = keep[ok + step] = True
+    return keep
+
+
+def _partnered(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(shingle, row, at), sorted by shingle → those that may link with another of the same shingle.
+
+    The last group of a batch waits for the next; a group that grows beyond ``_GROUP`` rows is passed on as it comes.
+    """
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = [np.empty(0, np.int64)] * 3
+        passing = None
+
+        def chosen(columns: list[np.ndarray], keep: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["shingle", "row", "at"])
+
+        for batch in batches:
+            columns = [np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns)]
+            if passing is not None:
+                own = int(np.searchsorted(columns[0] != passing, True))
+                yield chosen([c[:own] for c in columns], np.ones(own, bool))
+                columns = [c[own:] for c in columns]
+                if not len(columns[0]):
+                    held = columns
+                    continue
+                passing = None
+            if not len(columns[0]):
+                continue
+            end = int(np.flatnonzero(np.concatenate(([True], columns[0][1:] != columns[0][:-1])))[-1])
+            whole, held = [c[:end] for c in columns], [c[end:] for c in columns]
+            yield chosen(whole, partnered(whole[0], whole[2], percent))
+            if len(held[0]) > _GROUP:
+                passing = held[0][0]
+                yield chosen(held, np.ones(len(held[0]), bool))
+                held = [h[:0] for h in held]
+        yield chosen(held, partnered(held[0], held[2], percent))
+
+    return kept
+
+
+def _visits(percent: int, one_each: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(shingle, row, at, chunk, weight, component), sorted by shingle → which rows are to visit which chunks (``row``, ``chunk``).
+
+    Of two sets of different components that share a shingle and may link, that of the smaller one (by weight, then name) visits the
+    other's chunk, unless both are in it.  With ``one_each`` a component sends one set for each shingle, to one chunk:
+    of many near copies in many chunks each chunk's component meets another so, and few are left apart for the visits of all
+    sets.  Near copies share many shingles and so give the same visits again and again; these are merged in blocks
+    before they leave the task.
+    """
+
+    def pairs(columns: list[np.ndarray], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rows, at, chunks = columns
+        if len(rows) <= _PAIRED:
+            size, place = _unpacked(at)
+            ok = may_link((size[:, None], place[:, None]), (size, place), percent)
+            go, to = np.nonzero(ok & (rank[:, None] < rank) & (chunks[:, None] != chunks))
+            if one_each:
+                first = np.unique(rank[go], return_index=True)[1]
+                go, to = go[first], to[first]
+            return rows[go], chunks[to]
+        if one_each:
+            first = np.unique(rank, return_index=True)[1]
+            top = first[-1]
+            go = first[:-1][chunks[first[:-1]] != chunks[top]]
+            return rows[go], np.full(len(go), chunks[top])
+        places, of = np.unique(chunks, return_inverse=True)
+        best = np.zeros(len(places), np.int64)
+        np.maximum.at(best, of, rank)
+        sent = [(rows[(rank < best[k]) & (of != k)], places[k]) for k in np.flatnonzero(best > 0).tolist()]
+        return np.concatenate([r for r, _ in sent]), np.repeat([c for _, c in sent], [len(r) for r, _ in sent])
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def merged() -> pa.RecordBatch:
+            rows, chunks = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((chunks, rows))
+            rows, chunks = rows[order], chunks[order]
+            new = np.concatenate(([True], (rows[1:] != rows[:-1]) | (chunks[1:] != chunks[:-1])))
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(rows[new]), pa.array(chunks[new])], names=["row", "chunk"])
+
+        held = [np.empty(0, np.int64)] * 6
+        last = False
+        source = iter(batches)
+        while not last:
+            batch = next(source, None)
+            last = batch is None
+            columns = held if last else [np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns)]
+            shingles = columns[0]
+            starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1]))) if len(shingles) else np.empty(0, np.int64)
+            # The last group may go on in the next batch.
+            end = len(shingles) if last or not len(starts) else int(starts[-1])
+            held = [c[end:] for c in columns]
+            starts = starts[starts < end]
+            if not len(starts):
+                continue
+            components = columns[5][:end]
+            mixed = np.minimum.reduceat(components, starts) != np.maximum.reduceat(components, starts)
+            ends = np.append(starts[1:], end)
+            for low, high in zip(starts[mixed].tolist(), ends[mixed].tolist()):
+                rows, at, chunks, weights, names = (c[low:high] for c in columns[1:])
+                order = np.lexsort((names, weights))
+                rank = np.empty(len(rows), np.int64)
+                # Equal ranks for sets of one component.
+                rank[order] = np.cumsum(np.concatenate(([0], names[order[1:]] != names[order[:-1]])))
+                go, to = pairs([rows, at, chunks], rank)
                 if len(go):
-                    found.append((go, np.full(len(go), places[k])))
+                    found.append((go, to))
                     size += len(go)
-            if size > _MERGED:
-                yield merged()
-                size = 0
-    if found:
-        yield merged()
+                if size > _MERGED:
+                    yield merged()
+                    size = 0
+        if found:
+            yield merged()
+
+    return visits
 
 
 def _sets(table: pa.Table) -> list[np.ndarray]:
@@ -329,10 +429,12 @@ def near_duplicates(
     1. Two sets that link share one of the first fifth or so of their shingles in any common order.  In the
        order used, shingles that are frequent in the corpus come last (by counts in a fixed number of cells), so
        that shared passages do not bring unrelated documents together.
+       Sizes and the shingle's place in both sets rule out most pairs that share one: what has no partner left goes no further.
     2. Sets that share such a shingle go to chunks, by one of these shingles; in each chunk an R-tree
        over count vectors finds the pairs that may link, and these are verified unless connected already.
-    3. Sets that share a shingle with a set of another chunk and are not connected with it travel to that
-       chunk (those of the smaller component), and are looked up in its R-tree.  No possible link is left out.
+    3. Sets that share a shingle with a set of another chunk, may link with it and are not connected with it travel to that
+       chunk (those of the smaller component), and are looked up in its R-tree.  At first each component sends one set for
+       a shingle, which connects the parts of large groups; then all that are still apart.  No possible link is left out.
 
     A document with fewer words has one shingle; one without words (or null) has none and links with nothing.
     Null keys never are a ``component_id`` unless all keys of a component are null.  Repeated rows are
@@ -369,20 +471,22 @@ def near_duplicates(
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least")
     classes = sketch.filter("n > 0").groupBy("digest").agg(least).select("digest", F.col("least.row").alias("row"), F.col("least.id").alias("least"))
     classes = stored(classes, "classes")
-    chosen = sketch.select("row", "firsts").join(classes.select("row"), "row")
-    spread = chosen.select(F.explode("firsts").alias("shingle"), "row").repartition("shingle").sortWithinPartitions("shingle")
-    shared = stored(spread.mapInArrow(released(_repeated), "shingle bigint, row bigint"), "shared")
+    chosen = sketch.select("row", "firsts", "n").join(classes.select("row"), "row")
+    spread = chosen.select(F.posexplode("firsts").alias("place", "shingle"), "row", "n")
+    spread = spread.select("shingle", "row", (F.shiftleft(F.col("place").cast("long"), 32) + F.col("n")).alias("at"))
+    spread = spread.repartition("shingle").sortWithinPartitions("shingle")
+    shared = stored(spread.mapInArrow(released(_partnered(percent)), "shingle bigint, row bigint, at bigint"), "shared")
     # The chunk of a set: one of its shared shingles, chosen by hash; large ones are divided.
     block = F.min(F.struct(F.xxhash64("shingle").alias("hash"), "shingle"))
-    blocks = shared.groupBy("row").agg(block.alias("block")).select("row", F.col("block.shingle").alias("block"))
-    known = stored(sketch.select("row", "row_key", "n").join(blocks, "row"), "known")
+    size = F.max(F.col("at").bitwiseAND(0xFFFFFFFF)).alias("n")
+    known = stored(shared.groupBy("row").agg(block.alias("block"), size).select("row", F.col("block.shingle").alias("block"), "n"), "known")
     loads = known.groupBy("block").agg(F.count("*").alias("docs"), F.sum("n").alias("load"))
     parts = F.greatest(F.ceil(F.col("docs") / _CHUNK_DOCS), F.ceil(F.col("load") / _CHUNK_SHINGLES))
     divided = match_unique(known, loads.select("block", parts.alias("parts")), ["block"])
     chunk = F.xxhash64("block", F.pmod(F.xxhash64("row"), F.col("parts")))
-    placed = divided.select("row", "row_key", chunk.alias("chunk"))
+    placed = divided.select("row", chunk.alias("chunk"))
     # The vectors are attached last, and so sent once.
-    placed = stored(sketch.select("row", "point").join(placed, "row"), "chunks")
+    placed = stored(sketch.select("row", "row_key", "point").join(placed, "row"), "chunks")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """The wanted rows (by ``row_key``) with their shingles, from one pass over the texts.
@@ -401,6 +505,8 @@ def near_duplicates(
                     yield pa.RecordBatch.from_arrays([some.column(0), pa.array(raw, pa.binary())], names=["row_key", "shingles"])
 
         found = keyed.select("row_key", "text").mapInArrow(released(shingled), "row_key binary, shingles binary")
+        # A row that is repeated gives one set, however often: first within the tasks.
+        found = found.groupBy("row_key").agg(F.any_value("shingles").alias("shingles"))
         return found.join(wanted, "row_key").drop("row_key")
 
     def points_of(table: pa.Table) -> list[np.ndarray]:
@@ -427,21 +533,16 @@ def near_duplicates(
             rows, own = table.column("row").to_numpy(), _sets(table)
             yield edges_of(link_sets(own, rows, percent), rows)
 
-    edges = stored(sets.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(released(within), edge_schema), "links")
-    found = connected_components(edges)
-    component = F.coalesce("component", "row").alias("component")
-    labelled = match_unique(placed.select("row", "chunk"), found.withColumnRenamed("node", "row"), ["row"], "left")
-    labelled = stored(labelled.select("row", "chunk", component), "labelled")
-    weights = labelled.groupBy("component").agg(F.count("*").alias("weight"))
-    labelled = stored(match_unique(labelled, weights, ["component"]), "weighed")
-    # Sets of smaller components visit the chunks in which larger ones share a shingle with them.
-    places = match_unique(shared, labelled.select("row", "chunk", "weight", "component"), ["row"])
-    places = places.select("shingle", "row", "chunk", "weight", "component").repartition("shingle").sortWithinPartitions("shingle")
-    visits = stored(places.mapInArrow(released(_visits), "row bigint, chunk bigint"), "visits").dropDuplicates()
-    visits = stored(visits, "distinct-visits")
-    if visits.isEmpty():
-        merged = found.select("node", "component")
-    else:
+    def meetings_of(labelled: DataFrame, one_each: bool) -> DataFrame | None:
+        """Links between sets of different components in different chunks, found where sets visit chunks; None without visits."""
+        weights = labelled.groupBy("component").agg(F.count("*").alias("weight"))
+        weighed = stored(match_unique(labelled, weights, ["component"]), "weighed")
+        places = match_unique(shared, weighed.select("row", "chunk", "weight", "component"), ["row"])
+        places = places.select("shingle", "row", "at", "chunk", "weight", "component").repartition("shingle").sortWithinPartitions("shingle")
+        visits = stored(places.mapInArrow(released(_visits(percent, one_each)), "row bigint, chunk bigint"), "visits").dropDuplicates()
+        visits = stored(visits, "distinct-visits")
+        if visits.isEmpty():
+            return None
         # A chunk with many guests meets them in parts, so that no task holds more than one part of them.
         parts = visits.groupBy("chunk").agg(F.ceil(F.count("*") / _CHUNK_DOCS).alias("parts"))
         parts = stored(parts, "parts")
@@ -452,30 +553,39 @@ def near_duplicates(
         hosts = match_unique(points, parts, ["chunk"])
         hosts = hosts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         hosts = hosts.select(F.xxhash64("chunk", F.pmod("part", "parts")).alias("chunk"), F.lit(False).alias("guest"), "row", "point")
-
-        def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table in _grouped(batches):
-                table = table.combine_chunks()
-                marked = pa.array(possible(points_of(table), percent, int(table.column("guest").to_numpy().argmax())))
-                yield from table.select(["chunk", "guest", "row"]).filter(marked).combine_chunks().to_batches()
-
         met = guests.union(hosts).repartition("chunk").sortWithinPartitions("chunk", "guest")
         met = stored(met.mapInArrow(released(meeting), "chunk bigint, guest boolean, row bigint"), "met")
         wanted = met.join(placed.select("row", "row_key"), "row").join(labelled.select("row", "component"), "row")
         meetings = sets_of(stored(wanted.drop("row"), "wanted")).select("chunk", "guest", "component", "shingles")
+        links = meetings.repartition("chunk").sortWithinPartitions("chunk", "guest").mapInArrow(released(across), edge_schema)
+        return stored(links, "links")
 
-        def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table in _grouped(batches):
-                names = table.column("component").to_numpy()
-                hosts = int(table.combine_chunks().column("guest").to_numpy().argmax())
-                yield edges_of(link_sets(_sets(table), names, percent, hosts), names)
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped(batches):
+            table = table.combine_chunks()
+            marked = pa.array(possible(points_of(table), percent, int(table.column("guest").to_numpy().argmax())))
+            yield from table.select(["chunk", "guest", "row"]).filter(marked).combine_chunks().to_batches()
 
-        links = meetings.repartition("chunk").sortWithinPartitions("chunk", "guest").mapInArrow(released(across), edge_schema)
-        again = connected_components(stored(links, "links"))
-        again = again.select(F.col("node").alias("component"), F.col("component").alias("whole"))
-        merged = match_unique(labelled.select(F.col("row").alias("node"), "component"), again, ["component"], "left")
-        merged = merged.select("node", F.coalesce("whole", "component").alias("component"))
-    merged = stored(merged, "merged")
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped(batches):
+            names = table.column("component").to_numpy()
+            hosts = int(table.combine_chunks().column("guest").to_numpy().argmax())
+            yield edges_of(link_sets(_sets(table), names, percent, hosts), names)
+
+    edges = stored(sets.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(released(within), edge_schema), "links")
+    found = connected_components(edges)
+    component = F.coalesce("component", "row").alias("component")
+    labelled = match_unique(placed.select("row", "chunk"), found.withColumnRenamed("node", "row"), ["row"], "left")
+    labelled = stored(labelled.select("row", "chunk", component), "labelled")
+    # Sets of smaller components visit the chunks in which larger ones share a shingle with them: one set of each first, then all.
+    for one_each in (True, False):
+        links = meetings_of(labelled, one_each)
+        if links is not None:
+            again = connected_components(links)
+            again = again.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+            joined = match_unique(labelled, again, ["component"], "left")
+            labelled = stored(joined.select("row", "chunk", F.coalesce("whole", "component").alias("component")), "labelled")
+    merged = labelled.select(F.col("row").alias("node"), "component")
     named = match_unique(classes, merged.select(F.col("node").alias("row"), "component"), ["row"], "left")
     named = stored(named.select("digest", "least", F.coalesce("component", "row").alias("component")), "named")
     firsts = named.groupBy("component").agg(F.min("least").alias("component_id"))
