@@ -40,9 +40,10 @@ def _brute_repeats(texts: list[bytes], length: int) -> list[list[int]]:
     ]
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
-def test_repeated_strings(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, meet", [(20_000, 20_000), (2, 20_000), (2, 3), (0, 0)])
+def test_repeated_strings(spark, monkeypatch, hot, meet):
     monkeypatch.setattr(repeats, "_HOT", hot)
+    monkeypatch.setattr(repeats, "_MEET", meet)
     rng = random.Random(hot)
     word = ["".join(rng.choices("abcdé", k=rng.randint(1, 6))) for _ in range(300)]
     shared = [" ".join(rng.choices(word, k=60)) for _ in range(3)]
@@ -64,6 +65,31 @@ def test_repeated_strings(spark, monkeypatch, hot):
             assert found[i]["kept_text"].encode().decode() == found[i]["kept_text"]
 
 
+def test_a_short_passage_in_many_documents_does_not_gather(spark, monkeypatch):
+    """190 bytes that many short documents share give as many different contexts; no key keeps more than some of them."""
+    monkeypatch.setattr(repeats, "_HOT", 200)
+    monkeypatch.setattr(repeats, "_MEET", 200)
+    largest = []
+    divide = repeats.divided_contexts
+
+    def watched(spark, contexts, length):
+        found = divide(spark, contexts, length)
+        sizes = [df.groupBy("key").count().agg({"count": "max"}).first()[0] for df in (contexts, found[0])]
+        largest.append(sizes)
+        return found
+
+    monkeypatch.setattr(repeats, "divided_contexts", watched)
+    passage = "".join(random.Random(1).choices("abcdefgh", k=190))
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("stuvwxyz", k=120)) + passage + "".join(rng.choices("stuvwxyz", k=120)) for _ in range(3000)]
+    texts += [texts[0][60:380] + "!", "?" + texts[1][30:340]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in repeats.repeated_strings(docs).collect()}
+    assert {i: s for i, s in found.items() if s} == {0: [(60, 380)], 1: [(30, 340)], 3000: [(0, 320)], 3001: [(1, 311)]}
+    [(before, after)] = largest
+    assert before > 1000 and after <= 200
+
+
 @given(st.text("ab ", max_size=80), st.text("ab ", max_size=80), st.data())
 @settings(max_examples=100, deadline=None)
 def test_prefix_hashes(one, other, data):

@@ -75,7 +75,7 @@ def op3_lm_scores(t: Tables) -> DataFrame:
     """All documents, learning from those outside the held-out fold."""
     held_out = F.coalesce(fold(F.col("doc_id"), 5) == 1, F.lit(False))
     scored = score_documents(t.documents.select("doc_id", "text"), ~held_out)
-    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "scored_by")
 
 
 @query()

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import match_unique
@@ -22,9 +23,10 @@ _BYTES = random64(np.arange(256), 21)
 _PIECE = 1 << 20
 _PLACE = 24
 _CELL = 50
-# Contexts that one suffix array is built over, and occurrences from which an anchor counts as hot.
+# Contexts that one suffix array is built over, occurrences from which an anchor counts as hot, and contexts that one key may have.
 _RUN = 20_000
 _HOT = 20_000
+_MEET = 20_000
 
 
 @np.errstate(over="ignore")
@@ -146,6 +148,67 @@ def _whole_characters(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes
     return data[keep].tobytes()
 
 
+def _number(*parts: bytes) -> int:
+    joined = hashlib.blake2b(digest_size=8)
+    for p in parts:
+        joined.update(len(p).to_bytes(8, "little") + p)
+    return int.from_bytes(joined.digest(), "little", signed=True)
+
+
+_CONTEXT = ("key", "digest", "least", "before", "after", "times")
+
+
+def _parts(length: int, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each context in parts of at most ``width`` of its strings, under keys that name the bytes which all strings of a part have.
+
+    Parts begin at multiples of the width, so that equal strings fall into parts alike whatever else their contexts hold.
+    """
+
+    def divided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [*_CONTEXT, "of_key", "of_digest"]
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+        for batch in batches:
+            rows = []
+            for key, digest, least, before, after, times in zip(*(c.to_pylist() for c in batch.columns)):
+                most = len(before)
+                for low in range(least - least % width, most + 1, width):
+                    a, b = max(least, low), min(most, low + width - 1)
+                    left, right = before[most - b :], after[: length - a]
+                    name = _number(str((key, low)).encode(), left[b - low :], right[: max(0, length - low - width + 1)])
+                    rows.append((name, _number(left, right), a, left, right, times, key, digest))
+            columns = zip(*rows) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    return divided
+
+
+def divided_contexts(spark: SparkSession, contexts: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Contexts such that no key has more than ``_MEET`` of them, and for each division which contexts are parts of which.
+
+    A passage shorter than ``length`` that stands in very many documents gives its anchors as many different contexts.  Those of
+    such a key are divided by how far before the anchor their strings begin, finer and finer: the fewer strings, the more bytes are common
+    to all of them, and contexts in which these differ part.  With one string left, equal keys are equal contexts, and these are one row.
+    """
+    whole: list[DataFrame] = []
+    links: list[DataFrame] = []
+    # The bands of hot anchors are at most half as wide as the strings are long; only narrower parts take them further.
+    for i in reversed(range(length.bit_length() - 2)):
+        sizes = contexts.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > _MEET).select("key", F.lit(True).alias("large"))
+        large = materialize(sizes, new_folder(spark, "large-keys"))
+        if large.isEmpty():
+            break
+        marked = match_unique(contexts, large, ["key"], "left")
+        whole.append(marked.filter("large is null").select(*_CONTEXT))
+        schema = "key bigint, digest bigint, least int, before binary, after binary, times bigint, of_key bigint, of_digest bigint"
+        parts = marked.filter("large").select(*_CONTEXT).mapInArrow(released(_parts(length, 1 << i)), schema)
+        parts = materialize(parts, new_folder(spark, "parts"))
+        links.append(parts.select("key", "digest", "of_key", "of_digest").dropDuplicates())
+        # Equal contexts become one row, within the tasks first.
+        same = parts.groupBy("key", "digest", "least").agg(*(F.any_value(c).alias(c) for c in ("before", "after")), F.sum("times").alias("times"))
+        contexts = materialize(same.select(*_CONTEXT), new_folder(spark, "contexts"))
+    return reduce(DataFrame.union, [*whole, contexts]), links
+
+
 def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 200) -> DataFrame:
     """Per document: ``key``, ``n_bytes``, ``spans``, ``kept_sha256``, ``kept_text`` and ``row_key``.
 
@@ -161,7 +224,8 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     2. Contexts of the other anchors, as far as their strings reach, meet by anchor; equal ones are counted and
        handled once.  Suffix arrays over them show which strings occur again (``repeated_starts``).
     3. An anchor with very many contexts is divided by how far before it a string begins, to powers of two,
-       and by the bytes that all such strings have: what is alike there falls together, and what differs goes apart.
+       and by the bytes that all such strings have: what is alike there falls together, and what differs goes apart.  Keys that have
+       very many contexts still are divided further (``divided_contexts``), so that no task holds more than some thousands together.
 
     A null text counts as empty; texts shorter than ``length`` have no spans.  Repeated rows repeat each other's
     strings.  Null keys are kept as they are.  Other columns are not used.  An empty table gives an empty result.
@@ -212,12 +276,6 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
          ("times", pa.int64()), ("row", pa.int64()), ("at", pa.int32())]
     )
 
-    def number(*parts: bytes) -> int:
-        joined = hashlib.blake2b(digest_size=8)
-        for p in parts:
-            joined.update(len(p).to_bytes(8, "little") + p)
-        return int.from_bytes(joined.digest(), "little", signed=True)
-
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each distinct context of the batch once, with how often it occurs, and its occurrences."""
         for batch in batches:
@@ -235,13 +293,13 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
                         seen.add((at, low))
                         if m["hot"]:
                             bands = [(0, 0), *((1 << j, (2 << j) - 1) for j in range(length.bit_length()))]
-                            bands = [(max(low, a), min(high, b), number(str((hash_, a)).encode(), raw[at - a : at + length - b])) for a, b in bands if a <= high and low <= b]
+                            bands = [(max(low, a), min(high, b), _number(str((hash_, a)).encode(), raw[at - a : at + length - b])) for a, b in bands if a <= high and low <= b]
                             bands = [b for b in bands if b[0] <= b[1]]
                         else:
                             bands = [(low, high, hash_)]
                         for a, b, key_ in bands:
                             before, after = raw[at - b : at], raw[at : at + length - a]
-                            digest = number(before, after)
+                            digest = _number(before, after)
                             held = distinct.get((key_, digest))
                             if held is None:
                                 distinct[key_, digest] = [a, before, after, 1]
@@ -252,7 +310,7 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * 8, ctx_arrow)], schema=ctx_arrow)
 
     pieces = stored(affected.mapInArrow(released(contexts), ctx_schema), "contexts")
-    meeting = pieces.filter("times is not null").select("key", "digest", "least", "before", "after", "times")
+    meeting, links = divided_contexts(spark, pieces.filter("times is not null").select(*_CONTEXT), length)
     meeting = meeting.repartition("key").sortWithinPartitions("key", "digest")
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,6 +344,12 @@ def repeated_strings(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
             yield rows()
 
     results = stored(meeting.mapInArrow(released(judged), "key bigint, digest bigint, offsets array<int>"), "judged")
+    # What was found of parts of a context was found of the context.
+    for parts in reversed(links):
+        of_parts = match_unique(parts, results, ["key", "digest"])
+        of_whole = of_parts.groupBy(F.col("of_key").alias("key"), F.col("of_digest").alias("digest"))
+        of_whole = of_whole.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("offsets")))).alias("offsets"))
+        results = stored(results.union(of_whole), "judged")
     occurrences = pieces.filter("times is null").select("key", "digest", "row", "at")
     hits = match_unique(occurrences, results, ["key", "digest"])
     hits = hits.groupBy("row").agg(F.collect_list(F.struct("at", "offsets")).alias("hits"))

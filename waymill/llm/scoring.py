@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -10,6 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,8 +112,8 @@ def _ids(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.nda
 def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Network, rounds: Iterable[int], part: Column) -> Network:
     """Train on the documents whose ``part`` is the number of the round, for each of the rounds in turn.
 
-    Every task trains on its own share from the same start; parameters are averaged, weighted by tokens,
-    in slices and in two steps, so that no task holds more than a slice from each of some tasks.
+    Every task trains on its own share from the same start; parameters are averaged, weighted by tokens, in slices: those of 32
+    tasks at a time, then 32 of these, so that a slice of some tasks is held at once and not one of all.
     Only one set of parameters passes through the driver.
     """
     spark = docs.sparkSession
@@ -130,7 +130,7 @@ def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Netwo
 
         def trained(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known, start = shared.value
-            current, tokens, texts, name = start, 0, [], 0
+            current, tokens, texts = start, 0, []
 
             def learn() -> None:
                 nonlocal current, texts
@@ -140,7 +140,6 @@ def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Netwo
             for batch in batches:
                 for value in batch.column(0):
                     ids = _ids(known, words_of(value))[1]
-                    name = zlib.crc32(ids.tobytes(), name)
                     texts.append(ids)
                     size, tokens = size + len(ids) + 1, tokens + len(ids) + 1
                     if size >= _TOKENS:
@@ -152,12 +151,13 @@ def train_network(docs: DataFrame, text: str, vocabulary: Vocabulary, net: Netwo
                 flat = current.flat()
                 slices = [flat[i : i + _SLICE].tobytes() for i in range(0, len(flat), _SLICE)]
                 n = len(slices)
-                arrays = [np.arange(n, dtype=np.int32), np.full(n, name % 64, np.int32), np.full(n, float(tokens))]
+                arrays = [np.arange(n, dtype=np.int32), np.full(n, TaskContext.get().partitionId(), np.int32), np.full(n, float(tokens))]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(slices, pa.binary())], names=["slice", "bundle", "weight", "numbers"])
 
         results = docs.filter(part == turn).select(text).mapInArrow(released(trained), schema)
-        bundled = results.groupBy("slice", "bundle").applyInPandas(merged, schema)
-        whole = bundled.groupBy("slice").applyInPandas(merged, schema).orderBy("slice").collect()
+        for _ in range(2):
+            results = results.withColumn("bundle", F.shiftright("bundle", 5)).groupBy("slice", "bundle").applyInPandas(merged, schema)
+        whole = results.groupBy("slice").applyInPandas(merged, schema).orderBy("slice").collect()
         if whole:
             net = net.with_flat(np.concatenate([np.frombuffer(row["numbers"], np.float32) for row in whole]))
     return net
@@ -201,8 +201,8 @@ def score_documents(
     has not taught it to do better than the counts, it stays as it started.  The counts of the ``head`` most frequent words go to every task;
     all others meet their counts in a join.
 
-    Result: ``key``, ``n_tokens`` (an end is one), ``n_known`` (with a count), ``train_tokens``, ``base_score``, ``score``;
-    one row per document.  A null or empty text is an end only.  Repeated rows get equal scores.
+    Result: ``key``, ``n_tokens`` (an end is one), ``n_known`` (with a count), ``train_tokens``, ``base_score``, ``score`` and
+    ``scored_by`` (``network``, or ``counts`` where it stays as it started); one row per document.  A null or empty text is an end only.  Repeated rows get equal scores.
     Where there is nothing to learn from, both scores are by the smoothing alone.  Other columns are not used.
     """
     spark = docs.sparkSession
@@ -280,4 +280,5 @@ def score_documents(
         F.lit(vocabulary.total).cast("long").alias("train_tokens"),
         (F.col("base") + extra).alias("base_score"),
         (F.col("score") + extra).alias("score"),
+        F.lit("counts" if net is start else "network").alias("scored_by"),
     )
