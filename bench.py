@@ -38,9 +38,11 @@ HEADLINES = (
     "fill_mode_null_group",
     "weather_batch_clean",
     "column_profile",
+    "column_profile_wide",
     "fare_documents_to_itineraries",
     "nested_json_scan",
     "daily_csv_scan",
+    "csv_headers_apart",
     "forecast_job",
     "parquet_append_roundtrip",
     "csv_export_roundtrip",
