@@ -253,6 +253,8 @@ def write_archives(
     The payload is the text in UTF-8, empty for null.  Of equal payloads of at least ``revisit_bytes``
     that with the largest key is the response and all others revisit it; pages that repeat the largest
     key with the same payload are responses, too.  Null keys are below all others; a null address is left out.
+    A payload of any length is one record, held by itself while it is packed.  Other columns are not used, and an empty table gives
+    no package.
     """
     rows = mark_revisits(
         pages.select(F.col(key).cast("bigint").alias("key"), F.col(uri).cast("string").alias("uri"), payload),
@@ -324,6 +326,8 @@ def read_archives(packages: DataFrame, *, range_bytes: int = 8 << 20, payloads:
 
     Columns: ``page_id``, ``url``, ``record_type``, ``payload_bytes`` (of the full payload), ``payload_digest``,
     ``refers_to`` and, with ``payloads``, ``payload`` (null for revisits).  Broken packages and records raise errors.
+    Records that were written twice are read twice, a record longer than ``range_bytes`` has a range of its own, and an empty table of
+    packages gives an empty result.  Other columns are not used.
     """
     schema = "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint"
     schema += ", payload binary" if payloads else ""

@@ -19,7 +19,8 @@ def source_targets(
 
     Sources are ranked by code point, null last, and take the weights in turn.  Together the
     targets come to ``share`` of all sizes; none is above ``most`` times its source's size, and what
-    a source cannot take goes to the others by weight.  Only sums pass through the driver.
+    a source cannot take goes to the others by weight.  Only sums pass through the driver.  A null source is one of its own,
+    one without any size has target 0, and an empty table gives no row.
     """
     if not 0 < share <= most:
         raise ValueError("the share must be above 0 and not above the most that documents may repeat")

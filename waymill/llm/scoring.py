@@ -203,7 +203,9 @@ def score_documents(
 
     Result: ``key``, ``n_tokens`` (an end is one), ``n_known`` (with a count), ``train_tokens``, ``base_score``, ``score`` and
     ``scored_by`` (``network``, or ``counts`` where it stays as it started); one row per document.  A null or empty text is an end only.  Repeated rows get equal scores.
-    Where there is nothing to learn from, both scores are by the smoothing alone.  Other columns are not used.
+    Where there is nothing to learn from, both scores are by the smoothing alone.  A null key is a key like any other (and in one
+    part of the training documents); a very long text is read in windows, with its words held once.  An empty table gives an
+    empty result.  Other columns are not used.
     """
     spark = docs.sparkSession
     used = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(learnt_from, F.lit(False)).alias("learn"))
