@@ -433,8 +433,9 @@ def near_duplicates(
     2. Sets that share such a shingle go to chunks, by one of these shingles; in each chunk an R-tree
        over count vectors finds the pairs that may link, and these are verified unless connected already.
     3. Sets that share a shingle with a set of another chunk, may link with it and are not connected with it travel to that
-       chunk (those of the smaller component), and are looked up in its R-tree.  At first each component sends one set for
-       a shingle, which connects the parts of large groups; then all that are still apart.  No possible link is left out.
+       chunk (those of the smaller component), and are looked up in its R-tree.  Where a shingle's sets were divided to several chunks,
+       each component of theirs sends one set first, which connects the parts of large groups; then all that are still apart
+       visit.  No possible link is left out.
 
     A document with fewer words has one shingle; one without words (or null) has none and links with nothing.
     Null keys never are a ``component_id`` unless all keys of a component are null.  Repeated rows are
@@ -445,6 +446,10 @@ def near_duplicates(
     def stored(df: DataFrame, name: str) -> DataFrame:
         return materialize(df, new_folder(spark, name))
 
+    def by_row(one: DataFrame, other: DataFrame) -> DataFrame:
+        """Joined by row, always by dealing out both sides: nothing bounds how many rows there are, and rows are no hot keys."""
+        return one.join(other.hint("merge"), "row")
+
     cells = spark.sparkContext.broadcast(cell_counts(docs.select(text), words))
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -471,7 +476,7 @@ def near_duplicates(
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least")
     classes = sketch.filter("n > 0").groupBy("digest").agg(least).select("digest", F.col("least.row").alias("row"), F.col("least.id").alias("least"))
     classes = stored(classes, "classes")
-    chosen = sketch.select("row", "firsts", "n").join(classes.select("row"), "row")
+    chosen = by_row(sketch.select("row", "firsts", "n"), classes.select("row"))
     spread = chosen.select(F.posexplode("firsts").alias("place", "shingle"), "row", "n")
     spread = spread.select("shingle", "row", (F.shiftleft(F.col("place").cast("long"), 32) + F.col("n")).alias("at"))
     spread = spread.repartition("shingle").sortWithinPartitions("shingle")
@@ -486,7 +491,7 @@ def near_duplicates(
     chunk = F.xxhash64("block", F.pmod(F.xxhash64("row"), F.col("parts")))
     placed = divided.select("row", chunk.alias("chunk"))
     # The vectors are attached last, and so sent once.
-    placed = stored(sketch.select("row", "row_key", "point").join(placed, "row"), "chunks")
+    placed = stored(by_row(sketch.select("row", "row_key", "point"), placed), "chunks")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         """The wanted rows (by ``row_key``) with their shingles, from one pass over the texts.
@@ -520,7 +525,7 @@ def near_duplicates(
 
     chunks = placed.select("chunk", "row", "point").repartition("chunk").sortWithinPartitions("chunk")
     hopes = stored(chunks.mapInArrow(released(hopeful), "chunk bigint, row bigint"), "hopes")
-    wanted = stored(placed.select("row", "row_key").join(hopes, "row"), "wanted")
+    wanted = stored(by_row(placed.select("row", "row_key"), hopes), "wanted")
     sets = sets_of(wanted).select("chunk", "row", "shingles")
     edge_schema = "a bigint, b bigint"
 
@@ -533,13 +538,15 @@ def near_duplicates(
             rows, own = table.column("row").to_numpy(), _sets(table)
             yield edges_of(link_sets(own, rows, percent), rows)
 
-    def meetings_of(labelled: DataFrame, one_each: bool) -> DataFrame | None:
+    def meetings_of(labelled: DataFrame, blocks_only: bool) -> DataFrame | None:
         """Links between sets of different components in different chunks, found where sets visit chunks; None without visits."""
         weights = labelled.groupBy("component").agg(F.count("*").alias("weight"))
         weighed = stored(match_unique(labelled, weights, ["component"]), "weighed")
-        places = match_unique(shared, weighed.select("row", "chunk", "weight", "component"), ["row"])
+        # At first every set comes with one of its shingles only, that by which it was dealt to its chunk.
+        with_shingle = known.select("row", F.col("block").alias("shingle"), F.col("n").alias("at")) if blocks_only else shared
+        places = by_row(with_shingle, weighed.select("row", "chunk", "weight", "component"))
         places = places.select("shingle", "row", "at", "chunk", "weight", "component").repartition("shingle").sortWithinPartitions("shingle")
-        visits = stored(places.mapInArrow(released(_visits(percent, one_each)), "row bigint, chunk bigint"), "visits").dropDuplicates()
+        visits = stored(places.mapInArrow(released(_visits(percent, blocks_only)), "row bigint, chunk bigint"), "visits").dropDuplicates()
         visits = stored(visits, "distinct-visits")
         if visits.isEmpty():
             return None
@@ -549,13 +556,13 @@ def near_duplicates(
         visits = match_unique(visits, parts, ["chunk"])
         place = F.xxhash64("chunk", F.pmod(F.xxhash64("row"), F.col("parts")))
         points = placed.select("chunk", "row", "point")
-        guests = points.drop("chunk").join(visits.select("row", place.alias("chunk")), "row").select("chunk", F.lit(True).alias("guest"), "row", "point")
+        guests = by_row(points.drop("chunk"), visits.select("row", place.alias("chunk"))).select("chunk", F.lit(True).alias("guest"), "row", "point")
         hosts = match_unique(points, parts, ["chunk"])
         hosts = hosts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         hosts = hosts.select(F.xxhash64("chunk", F.pmod("part", "parts")).alias("chunk"), F.lit(False).alias("guest"), "row", "point")
         met = guests.union(hosts).repartition("chunk").sortWithinPartitions("chunk", "guest")
         met = stored(met.mapInArrow(released(meeting), "chunk bigint, guest boolean, row bigint"), "met")
-        wanted = met.join(placed.select("row", "row_key"), "row").join(labelled.select("row", "component"), "row")
+        wanted = by_row(by_row(met, placed.select("row", "row_key")), labelled.select("row", "component"))
         meetings = sets_of(stored(wanted.drop("row"), "wanted")).select("chunk", "guest", "component", "shingles")
         links = meetings.repartition("chunk").sortWithinPartitions("chunk", "guest").mapInArrow(released(across), edge_schema)
         return stored(links, "links")
@@ -577,9 +584,9 @@ def near_duplicates(
     component = F.coalesce("component", "row").alias("component")
     labelled = match_unique(placed.select("row", "chunk"), found.withColumnRenamed("node", "row"), ["row"], "left")
     labelled = stored(labelled.select("row", "chunk", component), "labelled")
-    # Sets of smaller components visit the chunks in which larger ones share a shingle with them: one set of each first, then all.
-    for one_each in (True, False):
-        links = meetings_of(labelled, one_each)
+    # Sets of smaller components visit the chunks in which larger ones share a shingle with them: one of each part of a block first.
+    for blocks_only in (True, False):
+        links = meetings_of(labelled, blocks_only)
         if links is not None:
             again = connected_components(links)
             again = again.select(F.col("node").alias("component"), F.col("component").alias("whole"))
