@@ -26,9 +26,9 @@ _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _CUT = re.compile(r"(?<=[^ ]) ")
 _SLICE = 1 << 20
 # A block of lattices has about so many chunks, and distinct ones of so many characters; a batch so many bytes of text.
-_BLOCK = 150_000
-_BLOCK_CHARS = 400_000
-_BATCH = 2_000_000
+_BLOCK = 200_000
+_BLOCK_CHARS = 600_000
+_BATCH = 3_000_000
 # A longer chunk has its lattice to itself, made and walked in segments of so many characters.
 _LONG = 512
 _SEGMENT = 1 << 15
@@ -407,7 +407,7 @@ def encode_pieces(
     does, into a column of that name; that spares sending them to Python again.  With ``lossless`` a column of that name tells
     whether they decode to the text, which is not sent back.
 
-    Texts are taken some two million bytes at a time, and their lattices in blocks; a word of more than 512 characters has
+    Texts are taken some three million bytes at a time, and their lattices in blocks; a word of more than 512 characters has
     a lattice to itself that is made in segments, so that memory does not follow the length of words.  An empty table gives
     an empty result; other columns stay as they are.
     """
