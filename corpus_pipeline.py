@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, folder) and all that the stage before kept; ``run`` writes what a stage returns as
 Parquet into the shared folder and gives the next stage a scan of it.  All but the last return the columns of
 documents.  Stages keep every document that their operator does not speak against.
+
+In all stages a null text counts as empty, whole texts are worked on however long they are, columns other than those of documents are
+left behind, and an empty table gives an empty result.  What a stage does with null keys and repeated rows stands with it.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose toxicity by the nearest labelled examples is below 0.3.
 
     Examples are the labelled documents outside the fold that is held out for measuring.  A document without
-    evidence stays, whatever the rate of toxic examples.
+    evidence stays, whatever the rate of toxic examples.  Null keys have no label and are judged as all others; repeated
+    rows stay or go together.
     """
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     learnt = labels.filter(F.coalesce(fold(F.col("doc_id"), 4) != 2, F.lit(False))).select("doc_id", "toxic")
@@ -36,7 +40,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest doc_id; repeated rows of it count as one."""
+    """One document of each group of near copies, that with the smallest doc_id; repeated rows of it count as one.
+
+    Documents without words are linked with nothing and stay.  Null keys are no group's smallest unless all its keys are null.
+    """
     found = near_duplicates(docs.select("doc_id", "text"))
     # A document with words stands for its group; those without any link with nothing and stay.
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(group_key(F.col("doc_id")).alias("__key"))
@@ -46,7 +53,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents without their byte strings of 200 that occur again; whole characters, and n_chars of what is left."""
+    """Documents without their byte strings of 200 that occur again; whole characters, and n_chars of what is left.
+
+    No document goes, also if nothing of its text is left.  Repeated rows repeat each other's strings and keep no text of 200 bytes or
+    more; null keys are kept as they are.
+    """
     found = repeated_strings(docs.select("doc_id", "text"), length=200).filter("kept_text is not null")
     found = found.select(F.col("row_key").alias("__key"), F.col("kept_text").alias("__text")).dropDuplicates(["__key"])
     keyed = docs.select(*COLUMNS, row_key("doc_id", "text").alias("__row"))
@@ -57,13 +68,19 @@ def repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents as often as a mix of the sources to weights of 1, 2, 3 in turn takes them."""
+    """Documents as often as a mix of the sources to weights of 1, 2, 3 in turn takes them.
+
+    A null source is one of its own; documents of a source without any words are not taken.  Repeated rows are taken each by itself.
+    """
     sized = docs.select(*COLUMNS, word_count(F.col("text")).alias("size"))
     return emit_copies(mix_sources(sized, weights=(1, 2, 3), share=1, most=3)).select(*COLUMNS)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with their sampled pieces; ``lossless`` tells that decoding gives the text again."""
+    """Documents with their sampled pieces; ``lossless`` tells that decoding gives the text again.
+
+    Repeated rows get the same pieces, null and empty texts none.
+    """
     coded = encode_pieces(docs.select("doc_id", "source", "text"), lossless="lossless")
     return coded.select("doc_id", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "lossless")
 
