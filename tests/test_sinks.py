@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from waymill import storage
 from waymill.plans import profile_and_publish
+from waymill.registry import QUERIES
 from waymill.sinks import append_if_any, append_parquet, export_csv, overwrite_parquet, publish_table, write_partitions
 from waymill.sources import catalog_table, read_state
 
@@ -128,3 +129,34 @@ def test_shared_folder(spark, monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.shared_root(Session(None, "yarn"))
     assert storage.shared_root(Session(None, "local[2]")) == storage.shared_root(Session(None, "local[4]"))
+
+
+def as_cluster(spark, monkeypatch, folder):
+    """A session that runs here and is told apart from a cluster's by nothing that the library looks at."""
+    get = type(spark.conf).get
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *default: folder if key == "spark.checkpoint.dir" else get(self, key, *default))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(storage, "_session_folders", {})
+
+
+@pytest.mark.parametrize("kind", ["none", "path", "checkpoints"])
+@pytest.mark.parametrize("name", ["incremental_first_run", "csv_export_roundtrip", "catalog_publish"])
+def test_queries_run_on_a_cluster_without_a_folder_set_with_its_scheme(spark, tmp_path, monkeypatch, name, kind):
+    as_cluster(spark, monkeypatch, str(tmp_path / "shared") if kind == "path" else None)
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: str(tmp_path / "own") if kind == "checkpoints" else None)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() in (1000, 1500)
+    assert [p.is_dir() for p in tmp_path.glob("*/waymill")] == ([] if kind == "none" else [True])
+
+
+def test_a_folder_of_each_machine_is_refused(spark, tmp_path, monkeypatch):
+    """What tasks write is lost here, as it is for a driver on another machine."""
+    as_cluster(spark, monkeypatch, str(tmp_path / "own"))
+    write = type(spark.range(1).write).parquet
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", lambda self, path: write(self, f"{path}-elsewhere"))
+    with pytest.raises(ValueError, match="set spark.checkpoint.dir"):
+        storage.new_folder(spark, "x")
+
+
+def test_the_local_folder_has_its_scheme():
+    """Paths without one belong to the default file system, which may be another."""
+    assert storage.shared_root(type("Session", (), {"conf": type("Conf", (), {"get": lambda *_: None})(), "sparkContext": type("C", (), {"master": "local"})})).startswith("file:///")
