@@ -99,3 +99,30 @@ def test_near_copies_over_many_chunks_meet_in_proportion(spark, monkeypatch):
     assert len(found) == 900 and all(names[i] == (0 if i < 600 else i) for i in range(700))
     # Thirty chunks: each with each would be some ten thousand.
     assert counts["distinct-visits"] < 3 * 600
+
+
+def test_sets_go_to_the_chunk_of_the_shingle_that_most_sets_have(spark, monkeypatch):
+    """So that a group of near copies fills few chunks, and those which do not link have few chunks to visit."""
+    tables = {}
+    store = jaccard.materialize
+
+    def kept(df, path):
+        return tables.setdefault(path.rsplit("/", 1)[1].rsplit("-", 1)[0], store(df, path))
+
+    monkeypatch.setattr(jaccard, "materialize", lambda df, path: store(df, path) if "labels" in path or "edges" in path else kept(df, path))
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(120):
+        own = base.copy()
+        for k in rng.sample(range(150), 2):
+            own[k] = f"x{i}-{k}"
+        texts.append(" ".join(own))
+    near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    shared = [(r["row"], r["shingle"]) for r in tables["shared"].collect()]
+    counts = Counter(shingle for _, shingle in shared)
+    most = Counter()
+    for row, shingle in shared:
+        most[row] = max(most[row], counts[shingle])
+    blocks = tables["known"].collect()
+    assert len(blocks) > 100 and all(counts[r["block"]] == most[r["row"]] for r in blocks)

@@ -297,9 +297,10 @@ def partnered(shingles: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _partnered(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(shingle, row, at), sorted by shingle → those that may link with another of the same shingle.
+    """(shingle, row, at), sorted by shingle → those that may link with another of the same shingle, and how many rows have it.
 
-    The last group of a batch waits for the next; a group that grows beyond ``_GROUP`` rows is passed on as it comes.
+    The last group of a batch waits for the next; a group that grows beyond ``_GROUP`` rows is passed on as it comes, and is not
+    counted further.
     """
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +308,10 @@ def _partnered(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         passing = None
 
         def chosen(columns: list[np.ndarray], keep: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["shingle", "row", "at"])
+            _, of, counts = np.unique(columns[0], return_inverse=True, return_counts=True)
+            several = np.minimum(counts, _GROUP)[of] if passing is None else np.full(len(of), _GROUP)
+            arrays = [*(c[keep] for c in columns), several[keep].astype(np.int32)]
+            return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["shingle", "row", "at", "several"])
 
         for batch in batches:
             columns = [np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns)]
@@ -430,7 +434,7 @@ def near_duplicates(
        order used, shingles that are frequent in the corpus come last (by counts in a fixed number of cells), so
        that shared passages do not bring unrelated documents together.
        Sizes and the shingle's place in both sets rule out most pairs that share one: what has no partner left goes no further.
-    2. Sets that share such a shingle go to chunks, by one of these shingles; in each chunk an R-tree
+    2. Sets that share such a shingle go to chunks, by that of these shingles which most sets have; in each chunk an R-tree
        over count vectors finds the pairs that may link, and these are verified unless connected already.
     3. Sets that share a shingle with a set of another chunk, may link with it and are not connected with it travel to that
        chunk (those of the smaller component), and are looked up in its R-tree.  Where a shingle's sets were divided to several chunks,
@@ -480,9 +484,9 @@ def near_duplicates(
     spread = chosen.select(F.posexplode("firsts").alias("place", "shingle"), "row", "n")
     spread = spread.select("shingle", "row", (F.shiftleft(F.col("place").cast("long"), 32) + F.col("n")).alias("at"))
     spread = spread.repartition("shingle").sortWithinPartitions("shingle")
-    shared = stored(spread.mapInArrow(released(_partnered(percent)), "shingle bigint, row bigint, at bigint"), "shared")
-    # The chunk of a set: one of its shared shingles, chosen by hash; large ones are divided.
-    block = F.min(F.struct(F.xxhash64("shingle").alias("hash"), "shingle"))
+    shared = stored(spread.mapInArrow(released(_partnered(percent)), "shingle bigint, row bigint, at bigint, several int"), "shared")
+    # The chunk of a set: that of its shared shingles which most sets have, so that a group of near copies fills few chunks; large ones are divided.
+    block = F.max(F.struct("several", F.xxhash64("shingle").alias("hash"), "shingle"))
     size = F.max(F.col("at").bitwiseAND(0xFFFFFFFF)).alias("n")
     known = stored(shared.groupBy("row").agg(block.alias("block"), size).select("row", F.col("block.shingle").alias("block"), "n"), "known")
     loads = known.groupBy("block").agg(F.count("*").alias("docs"), F.sum("n").alias("load"))
