@@ -160,3 +160,38 @@ def test_a_folder_of_each_machine_is_refused(spark, tmp_path, monkeypatch):
 def test_the_local_folder_has_its_scheme():
     """Paths without one belong to the default file system, which may be another."""
     assert storage.shared_root(type("Session", (), {"conf": type("Conf", (), {"get": lambda *_: None})(), "sparkContext": type("C", (), {"master": "local"})})).startswith("file:///")
+
+
+def shuffled(spark):
+    """Shuffle files of this machine."""
+    kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {kept.apply(i).getName() for i in range(kept.length()) if kept.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark, tmp_path, settings):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    dealt, before = spark.range(1000).repartition(4, "id").groupBy("id").count(), shuffled(spark)
+    stored = storage.materialize(dealt, str(tmp_path / "t"))
+    assert not shuffled(spark) - before and stored.count() == 1000
+    assert spark.conf.get(key, None) is None
+    # What is stored can be computed again, and a session's own choice holds.
+    assert storage.materialize(dealt, str(tmp_path / "again")).count() == 1000
+    settings(**{key.replace(".", "__"): "false"})
+    storage.materialize(dealt, str(tmp_path / "kept"))
+    assert shuffled(spark) - before and spark.conf.get(key) == "false"
+
+
+def test_passing_folders_go(spark):
+    stays = storage.new_folder(spark, "stays")
+    with storage.passing_folders(spark):
+        passing = storage.materialize(spark.range(3), storage.new_folder(spark, "passing"))
+        with storage.passing_folders(spark):
+            storage.materialize(passing, inner := storage.new_folder(spark, "inner"))
+        assert read_state(spark, inner) is None
+        kept = storage.materialize(passing, stays)
+    outer = passing.inputFiles()[0].rsplit("/", 1)[0]
+    assert read_state(spark, outer) is None and kept.count() == 3
+    with pytest.raises(RuntimeError), storage.passing_folders(spark):
+        storage.materialize(spark.range(3), broken := storage.new_folder(spark, "broken"))
+        raise RuntimeError
+    assert read_state(spark, broken) is None

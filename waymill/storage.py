@@ -7,7 +7,8 @@ the folder the cluster names in ``spark.checkpoint.dir`` and read back.  That
 * gives Catalyst true file sizes, so that it broadcasts a side only when its
   measured size is below ``spark.sql.autoBroadcastJoinThreshold``,
 * leaves a side without a hash partitioning of its own, so that adaptive
-  execution may split hot keys in a later join.
+  execution may split hot keys in a later join,
+* lets go of what was shuffled for it as soon as it is written.
 """
 
 from __future__ import annotations
@@ -17,12 +18,17 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
 _session_folders: dict[str, str] = {}
+# The folders given out within the innermost ``passing_folders``.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+# Without it shuffle files stay until the driver happens to collect its garbage.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -96,7 +102,10 @@ def _session_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh, unused path for intermediate data (not created yet)."""
-    return f"{_session_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{_session_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
+    return path
 
 
 @contextmanager
@@ -110,7 +119,31 @@ def scratch_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
         files.delete(hadoop_path, True)
 
 
+@contextmanager
+def passing_folders(spark: SparkSession) -> Iterator[None]:
+    """Removes, when the block ends, all folders that ``new_folder`` has given out within it.
+
+    What is to stay goes to a folder taken before the block; results that still read the others must be stored within it.
+    """
+    token = _passing.set(paths := [])
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in paths:
+            files, hadoop_path = file_system(spark, path)
+            files.delete(hadoop_path, True)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` as Parquet and return a scan of what was written."""
-    df.write.mode("errorifexists").parquet(path)
+    """Write ``df`` to ``path`` as Parquet and return a scan of what was written; what was shuffled for it is removed (unless set otherwise)."""
+    conf = df.sparkSession.conf
+    unset = conf.get(_SHUFFLE_CLEANUP, None) is None
+    if unset:
+        conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        if unset:
+            conf.unset(_SHUFFLE_CLEANUP)
     return df.sparkSession.read.schema(df.schema).parquet(path)
