@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, folder) and all that the stage before kept; ``run`` writes what a stage returns as
 Parquet into the shared folder and gives the next stage a scan of it.  All but the last return the columns of
-documents.  Stages keep every document that their operator does not speak against.
+documents.  Stages keep every document that their operator does not speak against.  Of what the operators for copies and repeats
+store on their way, a stage leaves only their results.
 
 In all stages a null text counts as empty, whole texts are worked on however long they are, columns other than those of documents are
 left behind, and an empty table gives an empty result.  What a stage does with null keys and repeated rows stands with it.
@@ -19,7 +20,7 @@ from waymill.llm.mixing import emit_copies, mix_sources
 from waymill.llm.pieces import encode_pieces
 from waymill.llm.repeats import repeated_strings, row_key
 from waymill.llm.toxicity import fit_toxicity, score_toxicity
-from waymill.storage import materialize, new_folder
+from waymill.storage import materialize, new_folder, passing_folders
 
 # What a stage returns passes its columns on in this order.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -44,9 +45,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
     Documents without words are linked with nothing and stay.  Null keys are no group's smallest unless all its keys are null.
     """
-    found = near_duplicates(docs.select("doc_id", "text"))
-    # A document with words stands for its group; those without any link with nothing and stay.
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(group_key(F.col("doc_id")).alias("__key"))
+    path = new_folder(spark, "kept-keys")
+    with passing_folders(spark):
+        found = near_duplicates(docs.select("doc_id", "text"))
+        # A document with words stands for its group; those without any link with nothing and stay.
+        kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(group_key(F.col("doc_id")).alias("__key"))
+        kept = materialize(kept, path)
     # Repeated rows meet where the join has put them; the texts are dealt out once.
     keyed = docs.select(*COLUMNS, group_key(F.col("doc_id")).alias("__key"))
     return keyed.join(kept.dropDuplicates(), "__key", "left_semi").dropDuplicates().select(*COLUMNS)
@@ -58,8 +62,11 @@ def repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     No document goes, also if nothing of its text is left.  Repeated rows repeat each other's strings and keep no text of 200 bytes or
     more; null keys are kept as they are.
     """
-    found = repeated_strings(docs.select("doc_id", "text"), length=200).filter("kept_text is not null")
-    found = found.select(F.col("row_key").alias("__key"), F.col("kept_text").alias("__text")).dropDuplicates(["__key"])
+    path = new_folder(spark, "kept-texts")
+    with passing_folders(spark):
+        found = repeated_strings(docs.select("doc_id", "text"), length=200).filter("kept_text is not null")
+        found = materialize(found.select(F.col("row_key").alias("__key"), F.col("kept_text").alias("__text")), path)
+    found = found.dropDuplicates(["__key"])
     keyed = docs.select(*COLUMNS, row_key("doc_id", "text").alias("__row"))
     joined = keyed.join(found, F.col("__row") == F.col("__key"), "left")
     text = F.coalesce("__text", "text")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,6 +182,15 @@ def test_pipeline_stages(spark, docs, empty, tmp_path):
             assert result.columns == list(corpus_pipeline.COLUMNS)
 
 
+@pytest.mark.parametrize("stage", [corpus_pipeline.near_copies, corpus_pipeline.repeats])
+def test_a_stage_leaves_only_its_result(spark, docs, tmp_path, stage):
+    own = Path(new_folder(spark, "own").removeprefix("file:")).parent
+    before = set(own.iterdir())
+    result = stage(spark, docs, str(tmp_path))
+    assert len(set(own.iterdir()) - before) == 1
+    assert result.count() > 0
+
+
 @pytest.mark.parametrize(
     "operator",
     [
