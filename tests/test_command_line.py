@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 
 import pytest
@@ -24,6 +25,13 @@ def test_fares(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out2/parquet")), "url") == [("u3",), ("u5",)]
 
 
+def test_fares_of_compressed_files(spark, tmp_path):
+    (tmp_path / HOUR).mkdir(parents=True)
+    (tmp_path / HOUR / "a.json.gz").write_bytes(gzip.compress(json.dumps(golden(), ensure_ascii=False).encode()))
+    main(["fares", "--folder", str(tmp_path), "--out", str(tmp_path / "out"), "--lines", "--files", "*.json.gz", "--csv-codec", "gzip"])
+    assert spark.read.option("header", True).csv(str(tmp_path / "out/csv")).count() == 2 == len(rows(spark.read.parquet(str(tmp_path / "out/parquet"))))
+
+
 def test_operations(spark, tmp_path, capsys):
     write_day(tmp_path / "raw", schemas.DEPARTURES_FILE, "D", "출발시간", DEPARTURES)
     write_day(tmp_path / "raw", schemas.ARRIVALS_FILE, "A", "도착시간", ARRIVALS)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import gzip
 import json
+from datetime import datetime
 
 import pytest
 from tables import rows, write_text
 from pyspark.sql import functions as F
 
+from waymill import storage
 from waymill.functions import charge_total, joined, path_stamp, stamp_in_path, translate_codes
 from waymill.operators import fare_offers, itinerary_legs
-from waymill.plans import run_fares
+from waymill.plans import fares, run_fares
+from waymill.registry import QUERIES
+from waymill.registry import fares as queries
 from waymill.schemas import FARE_DOCUMENT, ITINERARY_COLUMNS, needed_fare_document
 from waymill.sources import read_documents
 
@@ -117,6 +122,88 @@ def test_work_folder_is_removed(spark, tmp_path, monkeypatch):
     assert list(session.iterdir()) == []
 
 
+def own_folder(monkeypatch, tmp_path):
+    monkeypatch.setattr(storage, "shared_root", lambda _: str(tmp_path / "shared"))
+    monkeypatch.setattr(storage, "_session_folders", {})
+
+
+def files_below(folder, pattern):
+    return sorted(p for p in folder.rglob(pattern) if not p.name.startswith("."))
+
+
+def shuffled(spark):
+    """Shuffle files of this machine."""
+    kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {kept.apply(i).getName() for i in range(kept.length()) if kept.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_run_leaves_no_shuffle_files(spark, tmp_path):
+    put(tmp_path / HOUR, "a.json", golden())
+    before = shuffled(spark)
+    result = run(spark, tmp_path)
+    assert not shuffled(spark) - before and result.count() == 2
+
+
+def test_parsed_documents_go_before_the_outputs_are_written(spark, tmp_path, monkeypatch):
+    own_folder(monkeypatch, tmp_path)
+    put(tmp_path / HOUR, "a.json", golden())
+    there = {}
+
+    def write(df, path, *arguments):
+        there[path.rsplit("/", 1)[1]] = sorted({p.parent.name for p in files_below(tmp_path / "shared", "part-*.parquet")})
+        written(df, path, *arguments)
+
+    written = fares.write_partitions
+    monkeypatch.setattr(fares, "write_partitions", write)
+    assert run(spark, tmp_path).count() == 2
+    assert there == {"intake": ["documents"], "parquet": ["itineraries"], "csv": ["itineraries"]}
+
+
+def test_compressed_documents_and_csv(spark, tmp_path):
+    put(tmp_path / HOUR, "plain.json", "neither read nor counted")
+    (tmp_path / HOUR / "a.json.gz").write_bytes(gzip.compress(json.dumps(golden(), ensure_ascii=False, indent=4).encode()))
+    (tmp_path / HOUR / "b_empty.json.gz").write_bytes(gzip.compress(b"skipped"))
+    put(tmp_path / "same" / HOUR, "a.json", golden())
+    result = run(spark, tmp_path, files="*.json.gz", csv_codec="gzip")
+    same = run_fares(spark, str(tmp_path / "same"), str(tmp_path / "plain"))
+    assert rows(result) == rows(same) and len(rows(result)) == 2
+    assert rows(spark.read.parquet(str(tmp_path / "out/intake")), "n_documents", "n_broken") == [(1, 0)]
+    read = spark.read.option("header", True)
+    assert rows(read.csv(str(tmp_path / "out/csv"))) == rows(read.csv(str(tmp_path / "plain/csv")))
+    assert files_below(tmp_path / "out/csv", "part-*.csv.gz") and not files_below(tmp_path / "out/csv", "part-*.csv")
+    assert files_below(tmp_path / "plain/csv", "part-*.csv") and not files_below(tmp_path / "plain/csv", "*.gz")
+
+
+def line_items(spark, folder, n=1000):
+    """Line items of ten orders and the tables they are joined with."""
+    day = F.lit(datetime(2025, 1, 13, 10, 30)).cast("timestamp_ntz")
+    spark.range(n).select(
+        (F.col("id") % 10).alias("l_orderkey"), F.col("id").alias("l_partkey"), (F.col("id") % 3).alias("l_suppkey"),
+        (F.col("id") % 7).cast("int").alias("l_linenumber"), F.lit(1.0).alias("l_quantity"), F.col("id").cast("double").alias("l_extendedprice"),
+        F.lit(0.5).alias("l_discount"), F.lit(0.25).alias("l_tax"), F.when(F.col("id") % 4 > 0, "A").otherwise("N").alias("l_returnflag"),
+        F.when(F.col("id") % 2 > 0, "O").otherwise("F").alias("l_linestatus"), day.alias("l_shipdate"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(3).selectExpr("id AS s_suppkey", "concat('s', id) AS s_name", "cast(id AS int) AS s_nationkey").write.parquet(f"{folder}/supplier.parquet")
+    spark.range(3).selectExpr("cast(id AS int) AS n_nationkey", "concat('n', id) AS n_name").write.parquet(f"{folder}/nation.parquet")
+    spark.range(1).selectExpr("cast(id AS int) AS r_regionkey").write.parquet(f"{folder}/region.parquet")
+
+
+def test_the_job_runs_on_bounded_compressed_files(spark, tmp_path, monkeypatch):
+    """As text, the documents alone took sixteen times the room of all tables."""
+    own_folder(monkeypatch, tmp_path)
+    line_items(spark, str(tmp_path / "tables"))
+    monkeypatch.setattr(queries, "_DOCUMENTS_PER_FILE", 100, raising=False)
+    result = QUERIES["fares_job"](spark, str(tmp_path / "tables"))
+    raw = [p for p in files_below(tmp_path / "shared", "part-*.json*") if "/raw/" in str(p)]
+    texts = [gzip.decompress(p.read_bytes()).splitlines() if p.suffix == ".gz" else p.read_bytes().splitlines() for p in raw]
+    assert sum(map(len, texts)) == 1002 and max(map(len, texts)) <= 100
+    assert sum(p.stat().st_size for p in raw) < sum(sum(map(len, lines)) for lines in texts) / 4
+    # Orders 1, 3, … are of one extraction, 0, 2, … of the other; every one has an offer that counts.
+    assert rows(result.groupBy("extracted_at", "n_documents", "n_broken").count()) == [("202501130304", 501, 1, 500), ("202501140304", 501, 1, 500)]
+    cheapest = [min(i for i in range(order, 1000, 10) if i % 4) for order in range(10)]
+    assert rows(result, "url", "amount") == sorted([(f"u{i}", i + 0.75) for i in cheapest] * 100, key=repr)
+
+
 def test_no_documents_give_the_empty_contract(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     assert tuple(run(spark, tmp_path).columns) == ITINERARY_COLUMNS

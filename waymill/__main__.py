@@ -24,6 +24,8 @@ def _arguments() -> argparse.ArgumentParser:
     fares.add_argument("--passenger", default="Adult", choices=("Adult", "Child", "Infant"))
     fares.add_argument("--append", action="store_true", help="add to the output instead of replacing it")
     fares.add_argument("--lines", action="store_true", help="files hold one document per line")
+    fares.add_argument("--files", default="*.json", help="names of the documents' files, e.g. *.json.gz for compressed ones")
+    fares.add_argument("--csv-codec", help="compress the CSV files, e.g. by gzip")
 
     operations = jobs.add_parser("operations", help="one day's departures and arrivals of the target airports")
     operations.add_argument("--folder", required=True)
