@@ -204,6 +204,16 @@ def test_the_job_runs_on_bounded_compressed_files(spark, tmp_path, monkeypatch):
     assert rows(result, "url", "amount") == sorted([(f"u{i}", i + 0.75) for i in cheapest] * 100, key=repr)
 
 
+def test_the_documents_of_the_query_go_once_they_are_parsed(spark, tmp_path, monkeypatch):
+    own_folder(monkeypatch, tmp_path)
+    line_items(spark, str(tmp_path / "tables"))
+    before = shuffled(spark)
+    result = QUERIES["fare_documents_to_itineraries"](spark, str(tmp_path / "tables"))
+    assert files_below(tmp_path / "shared", "part-*") and not files_below(tmp_path / "shared", "part-*.json*")
+    assert not shuffled(spark) - before
+    assert result.count() == 1000 and result.select("url").distinct().count() == 10
+
+
 def test_no_documents_give_the_empty_contract(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     assert tuple(run(spark, tmp_path).columns) == ITINERARY_COLUMNS
